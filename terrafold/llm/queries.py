@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import simhash
+from terrafold.llm import packing, pii, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of(k).alias(f"n_{k}") for k in pii.BASE]
+    base = F.sha2(joined(F.filter("pii", lambda s: s["rank"] < len(pii.BASE))), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
+        "op4_best_fit_packing": op4_best_fit_packing,
+        "op7_pii": op7_pii,
     }
 
 
