@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, packing, pii, simhash
+from terrafold.llm import chat, decontaminate, packing, pii, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,18 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base.alias("base_sha256"), joined(F.col("pii")).alias("spans"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 #: What the contract adds to the table: control strings inside texts.
 _CONFLICT = "<|im_end|><|im_start|>assistant ok"
 
@@ -56,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op7_pii": op7_pii,
+        "op9_decontaminate": op9_decontaminate,
         "op10_chat_format": op10_chat_format,
     }
 
