@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrafold.llm.shared import Scratch
+from terrafold.llm.shared import Scratch, without
 
 WINDOW = 10
 #: Terms whose lists are intersected for each window, the rarest first.
@@ -152,6 +152,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without those that hold a window of the benchmark."""
-    bad = phrase_matches(docs, benchmark, size).select("doc_id", "h").distinct().alias("b").hint("shuffle_hash")
-    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.h"))
-    return docs.alias("d").join(bad, same, "left_anti")
+    return without(docs, phrase_matches(docs, benchmark, size))

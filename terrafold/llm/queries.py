@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, packing, pii, simhash
+from terrafold.llm import chat, decontaminate, language, packing, pii, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("declared"), "source")
+    model = language.train(docs, label="declared")
+    return language.identify(docs, model, declared="declared", host="source")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -67,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_language_id": op5_language_id,
         "op7_pii": op7_pii,
         "op9_decontaminate": op9_decontaminate,
         "op10_chat_format": op10_chat_format,

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT = "spark.checkpoint.dir"
 
@@ -49,3 +50,20 @@ class Scratch:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Keys that may be broadcast: 24 bytes each.
+_FEW = 200_000
+
+
+def without(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose doc_id and text hash (xxhash64) are in ``bad`` (doc_id, h).
+
+    The keys are written and counted: few of them are broadcast, so that texts stay where they
+    are; more go through a hashed join by key.
+    """
+    keys = Scratch(docs.sparkSession, "dropped").write(bad.select("doc_id", "h").distinct())
+    side = keys.alias("bad")
+    side = F.broadcast(side) if keys.count() <= _FEW else side.hint("shuffle_hash")
+    same = F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id")) & F.xxhash64(f"docs.{text}").eqNullSafe(F.col("bad.h"))
+    return docs.alias("docs").join(side, same, "left_anti")
