@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrafold.llm.components import components
-from terrafold.llm.shared import Scratch
+from terrafold.llm.shared import Scratch, without
 
 #: Hashes whose bits are counted at once.
 _BLOCK = 1 << 15
@@ -39,16 +39,17 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp is the fingerprint's 64 bits as a signed long.
-    A null text has no words, which gives 0. Other columns are not read."""
+    """(doc_id, h, fp): one row per row of ``docs``; fp is the fingerprint's 64 bits as a signed long,
+    h the xxhash64 of the text. A null text has no words, which gives 0. Other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), width, seed) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), width, seed) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def _masks(radius: int) -> list[int]:
@@ -76,9 +77,10 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id): a row per row of ``docs``.
+    """(doc_id, h, fp, root, component_id): a row per row of ``docs``.
 
-    component_id is the smallest doc_id that can be reached over links. Equal fingerprints are one node, so copies cost one row each. Repeated rows are
+    component_id is the smallest doc_id that can be reached over links, root the
+    least fingerprint of the component. Equal fingerprints are one node, so copies cost one row each. Repeated rows are
     linked to each other; null ids get the component's smallest non-null id, or null if it has
     none. An empty table gives no rows.
     """
@@ -88,21 +90,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(rows, radius), scratch)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = rooted.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "h", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest doc_id.
-
-    Of rows that repeat the id, one stays; components without any id keep one row of each text.
-    """
-    found = near_duplicates(docs).select("doc_id", "component_id")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    out = docs.join(kept.hint("shuffle_hash").select(F.col("doc_id").alias("kept_id"), "count"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    once = out.where("count = 1").select(*docs.columns)
-    if kept.where("count > 1").isEmpty():
-        return once
-    twice = out.where("count > 1").select(*docs.columns)
-    ids, rest = twice.where("doc_id is not null").dropDuplicates(["doc_id"]), twice.where("doc_id is null")
-    return once.unionByName(ids).unionByName(rest.dropDuplicates(["text"]))
+    """``docs`` with one document of each component: that of the smallest doc_id (null ids last; of
+    equal ids that of the least text hash; of rows equal in both, any one)."""
+    found = Scratch(docs.sparkSession, "found").write(near_duplicates(docs).select("doc_id", "h", "root"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("h"))
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    ranked = found.join(first, "root").select("doc_id", "h", order.eqNullSafe(F.col("first")).alias("stays"))
+    out = without(docs, ranked.where("not stays"))
+    repeated = Scratch(docs.sparkSession, "repeated").write(ranked.where("stays").groupBy("doc_id", "h").count().where("count > 1"))
+    if repeated.isEmpty():
+        return out
+    again = docs.alias("docs").join(repeated.alias("r").hint("shuffle_hash"), F.expr("docs.doc_id <=> r.doc_id and xxhash64(docs.text) = r.h"), "left_semi")
+    return without(out, repeated).unionByName(again.dropDuplicates(["doc_id", "text"]))
