@@ -31,7 +31,11 @@ class Encoder:
         if END_OF_TEXT in text:
             self._whole = self._whole or Tokenizer.from_file(self._json_path)
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.asarray(self._fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
+        return self.plain(text)
+
+    def plain(self, text: str | None) -> np.ndarray:
+        """The same, the special token's string being ordinary text."""
+        return np.asarray(self._fast.encode_to_numpy(text or "", disallowed_special=()), dtype=np.uint32)
 
 
 @lru_cache(maxsize=2)
