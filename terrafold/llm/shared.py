@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrafold.runtime import ship_package
+
 _CHECKPOINT = "spark.checkpoint.dir"
 
 
@@ -28,6 +30,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship_package(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
