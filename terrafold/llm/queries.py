@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, language, packing, pii, simhash, suffixes, token_counts
+from terrafold.llm import chat, decontaminate, html_extract, language, packing, pii, simhash, suffixes, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base.alias("base_sha256"), joined(F.col("pii")).alias("spans"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
         "op7_pii": op7_pii,
+        "op8_html_extract": op8_html_extract,
         "op9_decontaminate": op9_decontaminate,
         "op10_chat_format": op10_chat_format,
     }
