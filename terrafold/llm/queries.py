@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import chat, decontaminate, html_extract, language, packing, pii, simhash, suffixes, token_counts
+from terrafold.llm import audio, chat, decontaminate, html_extract, language, packing, pii, simhash, suffixes, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, declared="declared", host="source")
 
 
+def op6_audio_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have no recordings: each vector of ``embeddings`` is played as one."""
+    rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("media"))
+    found = audio.linked(rows, F.col("id") % 20 == 0, decode=audio.render_vector)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -88,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
+        "op6_audio_fingerprint": op6_audio_fingerprint,
         "op7_pii": op7_pii,
         "op8_html_extract": op8_html_extract,
         "op9_decontaminate": op9_decontaminate,
