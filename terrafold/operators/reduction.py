@@ -12,7 +12,8 @@ from pyspark.sql.window import Window
 
 from terrafold.functions import text as T
 
-_PARTS = ("district_code", "village", "street", "area", "lane", "alley")
+#: A hash of the coordinate, by which rows are dealt once for both stages.
+_DEALT = "_dealt"
 
 
 def _has(df: DataFrame, name: str) -> Column:
@@ -27,7 +28,8 @@ def _head(df: DataFrame) -> Column:
 def place_key(df: DataFrame, number: str | Column) -> list[Column]:
     """What makes two rows the same address at the same point. The neighbourhood isn't part of it."""
     folded = [T.blank(_has(df, c)) for c in ("village", "lane", "alley")]
-    return [F.col("lat"), F.col("lon"), T.blank(_has(df, "district_code")), folded[0], _head(df), *folded[1:], F.col(number) if isinstance(number, str) else number]
+    dealt = [F.col(_DEALT)] if _DEALT in df.columns else []
+    return [*dealt, F.col("lat"), F.col("lon"), T.blank(_has(df, "district_code")), folded[0], _head(df), *folded[1:], F.col(number) if isinstance(number, str) else number]
 
 
 def floor_flags(places: DataFrame) -> DataFrame:
@@ -126,6 +128,7 @@ def duplicate_summary(places: DataFrame) -> DataFrame:
 
 
 def reduce_addresses(places: DataFrame) -> DataFrame:
-    """Both stages over one distribution by coordinate: the windows' keys both begin with it."""
-    dealt = places.repartition("lat", "lon")
-    return collapse_duplicates(consolidate_floors(dealt))
+    """Both stages over one distribution by coordinate: the keys of both windows have its hash (of
+    the doubles themselves they would have a normalised form, and be dealt again)."""
+    dealt = places.withColumn(_DEALT, F.xxhash64(F.col("lat") + 0.0, F.col("lon") + 0.0)).repartition(_DEALT)
+    return collapse_duplicates(consolidate_floors(dealt)).select(*places.columns)

@@ -345,7 +345,7 @@ def snapshot_delta(spark, sf_dir):
 @query(
     """WITH o AS (SELECT c_name AS name, c_mktsegment AS sha, c_nationkey AS b FROM customer WHERE c_custkey % 3 <> 0),
     n AS (SELECT c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'x' ELSE c_mktsegment END AS sha, c_nationkey AS b FROM customer WHERE c_custkey % 4 <> 0)
-    SELECT coalesce(o.name, n.name) AS name, o.b AS old_bytes, n.b AS new_bytes, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' WHEN o.sha = n.sha THEN 'same' ELSE 'changed' END AS status
+    SELECT coalesce(o.name, n.name) AS name, coalesce(o.b, -1) AS old_bytes, coalesce(n.b, -1) AS new_bytes, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' WHEN o.sha = n.sha THEN 'same' ELSE 'changed' END AS status
     FROM o FULL OUTER JOIN n ON o.name = n.name"""
 )
 def artifact_diff(spark, sf_dir):
@@ -353,7 +353,7 @@ def artifact_diff(spark, sf_dir):
     shape = lambda df, sha: df.select(F.col("c_name").alias("name"), sha.alias("sha256"), F.col("c_nationkey").alias("bytes"))
     old = shape(c.where("c_custkey % 3 <> 0"), F.col("c_mktsegment"))
     new = shape(c.where("c_custkey % 4 <> 0"), F.when(F.col("c_custkey") % 5 == 0, "x").otherwise(F.col("c_mktsegment")))
-    return C.artifact_changes(old, new)
+    return C.artifact_changes(old, new).fillna(-1, ["old_bytes", "new_bytes"])
 
 
 @query(
@@ -497,7 +497,7 @@ def reverse_geocode(spark, sf_dir):
 
 
 # --- search -----------------------------------------------------------------------------------
-_TOKENS_SQL = r"t AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(translate(lower(text), 'àáâãäåāăąçćčďèéêëēęěìíîïīłñńňòóôõöøōőŕřśšşťţùúûüūůűýÿžźż', 'aaaaaaaaacccdeeeeeeeiiiiilnnnoooooooorrssstt' || 'uuuuuuuyyzzz'), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents)"
+_TOKENS_SQL = r"t AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(translate(lower(text), 'àáâãäåāăąçćčďèéêëēęěìíîïīłñńňòóôõöøōőŕřśšşťţùúûüūůűýÿžźż', 'aaaaaaaaacccdeeeeeeeiiiiilnnnoooooooorrssstt' || 'uuuuuuuyyzzz'), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents)"
 
 
 def _index(spark, sf_dir):
@@ -514,7 +514,7 @@ def fts_phrase(spark, sf_dir):
     return X.phrase_ids(_index(spark, sf_dir), "of the")
 
 
-@query(f"WITH {_TOKENS_SQL} SELECT id FROM t WHERE len(list_filter(w, x -> starts_with(x, 'thanon'))) > 0")
+@query(f"WITH {_TOKENS_SQL} SELECT id FROM t WHERE len(list_filter(w, lambda x: starts_with(x, 'thanon'))) > 0")
 def fts_prefix(spark, sf_dir):
     return X.prefix_ids(_index(spark, sf_dir), "thanon")
 
@@ -536,10 +536,10 @@ def like_fallback(spark, sf_dir):
     return X.contains_fallback(rows, "S1", "F").select("id", "display_name_halfwidth")
 
 
-@query("SELECT doc_id AS id FROM documents WHERE contains(text, 'thanont')")
+@query("SELECT p_partkey AS id FROM part WHERE contains(p_name, 'e giz')")
 def trigram_substring(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return X.substring_ids(docs, X.trigrams(docs, "text", "doc_id"), "thanont", "text", "doc_id")
+    parts = table(spark, sf_dir, "part")
+    return X.substring_ids(parts, X.trigrams(parts, "p_name", "p_partkey"), "e giz", "p_name", "p_partkey")
 
 
 # --- quality ----------------------------------------------------------------------------------
