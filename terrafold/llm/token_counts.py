@@ -102,7 +102,7 @@ def stitch(scanned: DataFrame) -> DataFrame:
     after the last separator are a document that hasn't ended; a file that ends with a
     separator has none. An empty file has no rows.
     """
-    blocks = scanned.select("file", "block", "n", "ends", F.size("ends").cast("long").alias("docs"), (F.element_at("ends", -1) + 1).alias("last_end"))
+    blocks = scanned.select("file", "block", "n", "ends", F.size("ends").cast("long").alias("docs"), (F.array_max("ends") + 1).alias("last_end"))
     blocks = blocks.withColumn("group", F.expr(f"block div {_GROUP}"))
     inner = _before(blocks, ["file", "group"], "block")
     groups = inner.groupBy("file", "group").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max(F.col("ids_before") + F.col("last_end")).alias("last_end"))
