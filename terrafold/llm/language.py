@@ -23,12 +23,18 @@ _TEMPER = 1 / 3
 _SMOOTH, _CELL = 20.0, 1.0
 
 
+#: A-Z in lower case; ASCII that is no letter is a space: numbers, signs and marks say nothing.
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+
+
 def _trigrams(data: bytes) -> np.ndarray:
-    """Bin of every three bytes, A-Z in lower case."""
-    b = np.frombuffer(data.lower(), np.uint8).astype(np.uint32)
+    """Bin of every three bytes of words and single spaces."""
+    b = np.frombuffer(data.translate(_PLAIN), np.uint8).astype(np.uint32)
     if len(b) < 3:
         return np.empty(0, np.uint32)
-    return ((b[:-2] * np.uint32(2654435761)) ^ (b[1:-1] * np.uint32(40503 << 8)) ^ (b[2:] * np.uint32(2246822519))) >> np.uint32(16)
+    bins = ((b[:-2] * np.uint32(2654435761)) ^ (b[1:-1] * np.uint32(40503 << 8)) ^ (b[2:] * np.uint32(2246822519))) >> np.uint32(16)
+    space = b == 32
+    return bins[~((space[:-2] & space[1:-1]) | (space[1:-1] & space[2:]))]
 
 
 @dataclass
