@@ -12,7 +12,8 @@ WINDOW = 10
 #: Terms whose lists are intersected for each window, the rarest first.
 LISTS = 2
 #: Windows whose terms are looked up at once; more windows take more passes, so that what is
-#: broadcast (LISTS terms and their offsets for each of them) never grows beyond this.
+#: broadcast (their words, and LISTS terms and offsets for each) never grows beyond this. Which items
+#: a window is from is joined, as a window may be from any number of them.
 BLOCK = 200_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -97,8 +98,8 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id
         shared = moved.groupBy("doc_id", "h", "wid", "start").agg(F.count("*").alias("lists"), F.first(payload, True).alias("p"), F.first("n").alias("n"))
         near = shared.where(F.col("lists") == F.least("n", F.lit(LISTS)))
         exact = F.slice("p.around", F.col("start") - F.col("p.first") + 1, F.col("n")) == F.col("words")
-        hit = near.join(F.broadcast(block.select("wid", "words", "item_ids")), "wid").where(exact)
-        hit = hit.select("doc_id", "h", "start", "n", "item_ids")
+        hit = near.join(F.broadcast(block.select("wid", "words")), "wid").where(exact)
+        hit = hit.join(block.select("wid", "item_ids"), "wid").select("doc_id", "h", "start", "n", "item_ids")
         out = hit if out is None else out.unionByName(hit)
     if out is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, h long, start int, n int, item_ids array<string>")
@@ -118,7 +119,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 5, size
         same = F.expr("a.doc_id <=> b.doc_id and a.h = b.h and a.wid = b.wid and a.start div 1024 = b.cell and abs(a.start - b.start) <= {slop}".replace("{slop}", str(slop)))
         cells = b.withColumn("cell", F.explode(F.expr(f"array_distinct(array((start - {slop}) div 1024, start div 1024, (start + {slop}) div 1024))"))).alias("b")
         hit = a.join(cells, same).groupBy("a.doc_id", "a.h", "a.wid").agg(F.min("a.start").alias("start"))
-        hit = hit.join(F.broadcast(block.select("wid", "item_ids")), "wid").select("doc_id", "h", "start", "item_ids")
+        hit = hit.join(block.select("wid", "item_ids"), "wid").select("doc_id", "h", "start", "item_ids")
         out = hit if out is None else out.unionByName(hit)
     if out is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, h long, start int, item_ids array<string>")

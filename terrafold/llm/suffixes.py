@@ -39,6 +39,8 @@ _REACH = SPAN - _GRAM
 _SEGMENT, _LOW = 1 << 19, np.uint64((1 << 20) - 1)
 #: Documents in the sample for splitters (and keys taken from each of its tasks at most).
 SAMPLE_DOCS, _SAMPLE_KEYS = 4000, 1 << 17
+#: Rows of a bucket that a task holds (about 40 bytes each).
+BUCKET_ROWS = 1 << 20
 #: Different blocks with one suffix key that one bucket compares; more are compared window by window.
 MOST_BLOCKS = 4096
 
@@ -160,8 +162,9 @@ def _keyed(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(of).alias("h"), of.cast("binary").alias("data"))
 
 
-def _sample(docs: DataFrame, length: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Splitters of ``n`` buckets, and the keys that are more than a bucket by themselves."""
+def _sample(docs: DataFrame, length: int, least: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many buckets there are (``least``, or as many as hold ``BUCKET_ROWS`` blocks each), their
+    splitters, and the keys that are more than a bucket by themselves."""
     total = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
     rows = docs if share == 1.0 else docs.sample(share, seed=17)
@@ -171,16 +174,19 @@ def _sample(docs: DataFrame, length: int, n: int) -> tuple[np.ndarray, np.ndarra
         for batch in batches:
             keys += [x[4] for x in _batch_blocks(batch.column(0), length)]
         out = np.concatenate(keys)
-        out = np.random.default_rng(17).permutation(out)[:_SAMPLE_KEYS] if len(out) > _SAMPLE_KEYS else out
-        yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], names=["keys"])
-
-    found = [np.frombuffer(bytes(x[0]), np.uint64) for x in rows.select("data").coalesce(8).mapInArrow(run, "keys binary").collect()]
-    keys = np.sort(np.concatenate([np.empty(0, np.uint64), *found]))
+        n = len(out)
+        out = np.random.default_rng(17).permutation(out)[:_SAMPLE_KEYS] if n > _SAMPLE_KEYS else out
+        yield pa.record_batch([pa.array([n]), pa.array([out.tobytes()], pa.binary())], names=["n", "keys"])
+
+    # The scan keeps its tasks; only the drawn documents are dealt to a few.
+    found = rows.select("data").repartition(8).mapInArrow(run, "n long, keys binary").collect()
+    n = max(least, int(sum(x[0] for x in found) / share / BUCKET_ROWS) + 1)
+    keys = np.sort(np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(bytes(x[1]), np.uint64) for x in found]]))
     values, counts = np.unique(keys, return_counts=True)
     hot = values[counts > max(16, len(keys) / n)]
     plain = keys[~np.isin(keys, hot)]
     splitters = np.unique(plain[(np.arange(1, n) * len(plain)) // n]) if len(plain) else plain
-    return splitters, hot
+    return n, splitters, hot
 
 
 def _status(key: np.ndarray, block: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -405,9 +411,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", id
     if length < SPAN + 64:
         raise ValueError(f"length must be at least {SPAN + 64}")
     spark = docs.sparkSession
-    scratch, n = Scratch(spark, "suffixes"), partitions(spark)
+    scratch = Scratch(spark, "suffixes")
     keyed = _keyed(docs, text, id_col)
-    splitters, hot = _sample(keyed, length, n)
+    n, splitters, hot = _sample(keyed, length, partitions(spark))
     found = scratch.write(_bucketed(keyed, length, splitters, hot, n))
     rows = found.where(F.col("kind") != _SPREAD)
     if len(hot):
