@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import audio, chat, decontaminate, html_extract, language, packing, pii, simhash, suffixes, token_counts
+from terrafold.llm import audio, chat, decontaminate, html_extract, language, oracle, packing, pii, simhash, suffixes, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,4 +104,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_suffix_dedup": oracle.REPEATS, "op7_pii": oracle.PII, "op9_decontaminate": oracle.DECONTAMINATE, "op10_chat_format": oracle.CHAT}
