@@ -574,6 +574,26 @@ def check_matrix(spark, sf_dir):
     return Q.matrix(s.select("direction", F.lit("even").alias("check"), ok.alias("ok")))
 
 
+_CHECKS_SQL = f"""extremes AS ({_EXTREMES}), s AS (SELECT e.direction, n.* FROM extremes e JOIN named n ON n.id = e.id),
+  p AS (SELECT id, CASE WHEN id % 5 = 0 THEN lat + cast(0.00002 as double) ELSE lat END AS lat, lon, village, street, area, number FROM named WHERE id % 6 <> 0),
+  m AS (SELECT s.id AS sample_id, s.direction, s.village, p.id AS found, {_HAV.format(a='s.lat', b='p.lat', c='s.lon', d='p.lon')} AS err FROM s LEFT JOIN p
+    ON s.village = p.village AND coalesce(s.street, '') = coalesce(p.street, '') AND coalesce(s.area, '') = coalesce(p.area, '') AND s.number = p.number),
+  best AS (SELECT *, row_number() OVER (PARTITION BY sample_id, direction ORDER BY coalesce(err, 1e12), found) AS r FROM m),
+  one AS (SELECT sample_id, direction, found IS NOT NULL AS there, coalesce(err <= 1.0, false) AS near, village IN ('F', 'O') AS known FROM best WHERE r = 1)"""
+
+
+@query(
+    f"""WITH {{ADDR}}, {_NAMED_SQL}, {_CHECKS_SQL} SELECT sample_id, direction, 'coverage' AS "check", there AS ok FROM one UNION ALL SELECT sample_id, direction, 'coord_match', there AND near FROM one
+    UNION ALL SELECT sample_id, direction, 'display_name', there AND known FROM one UNION ALL SELECT sample_id, direction, 'fts5_search', there AND known FROM one"""
+)
+def verify_checks(spark, sf_dir):
+    none = F.lit(None).cast("string")
+    rows = named(spark, sf_dir).withColumn("district_code", F.col("village")).withColumn("neighbor", none).withColumn("lane", none).withColumn("alley", none)
+    stored = rows.where("id % 6 <> 0").withColumn("lat", F.when(F.col("id") % 5 == 0, F.col("lat") + 0.00002).otherwise(F.col("lat")))
+    codes = spark.createDataFrame([("F", "台中市", "中區"), ("O", "台中市", "中區")], "code string, county string, district string")
+    return Q.checks(Q.extreme_samples(rows), stored, codes).select("sample_id", "direction", "check", "ok")
+
+
 @query(f"WITH {{ADDR}}, {_SHAPES_SQL}, {_COVERS}, {_TOWN} SELECT a.id, t.name AS found_township FROM addr a LEFT JOIN town t ON t.id = a.id WHERE t.name IS NULL OR t.name <> '甲鄉'")
 def outlier_scan(spark, sf_dir):
     areas, edges, _, _ = _shapes(spark)
