@@ -67,20 +67,43 @@ def reject_counts(rows: DataFrame) -> DataFrame:
     return rows.where("reject_reason is not null and reject_reason <> 'no_coordinate'").groupBy("reject_reason").agg(F.count("*").alias("rows"))
 
 
-def with_ids(rows: DataFrame, order: list[Column | str] | None = None, name: str = "id") -> DataFrame:
+#: Ranges that an order is cut into, from this many sampled keys at most.
+_RANGES, _SAMPLED = 256, 20_000
+
+
+def with_ids(rows: DataFrame, name: str = "id") -> DataFrame:
     """Rows numbered from 1 in the order of their source (file, then place in it).
 
-    Without ``order``, rows keep the order of partitions: each partition is numbered by itself and
-    gets the rows of those before it added, so no task sees all rows. ``order`` sorts first.
+    Each partition is numbered by itself and gets the rows of those before it added, so no task sees
+    all rows. ``rows`` must be a scan with filters, projections and broadcast joins only: then
+    each of the passes has the same partitions. Others have ``numbered``.
+    """
+    marked = rows.withColumn("_m", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % (1 << 33))
+    sizes = marked.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_p", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = marked.join(F.broadcast(offsets), "_p")
+    return placed.withColumn(name, F.col("_before") + F.col("_i") - F.col("_first") + 1).drop("_m", "_p", "_i", "_before", "_first")
+
+
+def numbered(rows: DataFrame, key: str, *more: str, name: str = "id") -> DataFrame:
+    """Rows numbered from 1 by a numeric key (nulls first), then by further columns.
+
+    The key's range is cut at quantiles of a bounded sample, which are literals from then on: each
+    range is ranked by itself and gets the rows of those before it added. The result doesn't
+    depend on how rows are partitioned.
     """
-    sorted_ = rows.orderBy(*order) if order else rows
-    marked = sorted_.withColumn("_m", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % (1 << 33))
-    sizes = marked.groupBy("_p").agg(F.count("*").alias("_n"))
+    total = rows.count()
+    share = min(1.0, _SAMPLED / max(total, 1))
+    drawn = sorted(r[0] for r in (rows if share == 1.0 else rows.sample(share, seed=7)).select(key).where(F.col(key).isNotNull()).collect())
+    cuts = sorted({drawn[i * len(drawn) // _RANGES] for i in range(1, _RANGES)}) if drawn else []
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(key))) if cuts else F.lit(0)
+    ranged = rows.withColumn("_p", F.when(F.col(key).isNull(), -1).otherwise(part))
+    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    first = marked.groupBy("_p").agg(F.min("_i").alias("_first"))
-    placed = marked.join(F.broadcast(offsets.join(first, "_p")), "_p")
-    return placed.withColumn(name, F.col("_before") + F.col("_i") - F.col("_first") + 1).drop("_m", "_p", "_i", "_before", "_first", "_n")
+    own = F.row_number().over(Window.partitionBy("_p").orderBy(key, *more))
+    return ranged.join(F.broadcast(offsets), "_p").withColumn(name, (F.col("_before") + own).cast("long")).drop("_p", "_before")
 
 
 def places(rows: DataFrame, source: str = "tgos") -> DataFrame:

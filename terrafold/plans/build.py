@@ -105,4 +105,4 @@ def map_places(objects: DataFrame, areas: DataFrame, area_edges: DataFrame, cove
         F.lit("osm").alias("source"), F.col("id").alias("osm_id"), "lat", "lon", "a.name", "a.display_name", "a.display_name_halfwidth",
         "a.county", "a.township", "a.street", "a.number", none.cast(text).alias("place_type"),
     )
-    return I.with_ids(landmarks.unionByName(addresses), order=["osm_id"])
+    return I.numbered(landmarks.unionByName(addresses), "osm_id")

@@ -171,7 +171,7 @@ def ingest_reject_counts(spark, sf_dir):
 
 @query("SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey FROM customer")
 def source_order_ids(spark, sf_dir):
-    return I.with_ids(table(spark, sf_dir, "customer").select("c_custkey"), order=["c_custkey"]).select("id", "c_custkey")
+    return I.numbered(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("id", "c_custkey")
 
 
 # --- reduction --------------------------------------------------------------------------------

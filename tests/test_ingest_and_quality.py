@@ -51,11 +51,19 @@ def test_bad_rows_need_empty_fields(spark):
 
 
 def test_ids_follow_the_source(spark):
-    df = spark.createDataFrame([(i,) for i in range(100)], "n long").repartitionByRange(5, "n").sortWithinPartitions("n")
+    df = spark.range(0, 100, 1, 5).withColumnRenamed("id", "n").where("n % 3 > 0 or n >= 0")
     got = I.with_ids(df).orderBy("id").collect()
     assert [r["id"] for r in got] == list(range(1, 101)) and [r["n"] for r in got] == list(range(100))
 
 
+def test_numbers_by_key(spark):
+    df = spark.createDataFrame([((i * 7919) % 1000 if i else None, i) for i in range(1000)], "k long, v long").repartition(7)
+    got = I.numbered(df, "k", "v").orderBy("id").collect()
+    assert [r["id"] for r in got] == list(range(1, 1001))
+    assert [(r["k"] is not None, r["k"], r["v"]) for r in got] == sorted((r["k"] is not None, r["k"], r["v"]) for r in got)
+    assert I.numbered(df.where("false"), "k").count() == 0
+
+
 def test_stream_is_the_batch(spark, tmp_path, source):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
