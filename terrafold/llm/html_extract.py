@@ -18,6 +18,9 @@ from terrafold.llm.shared import Scratch
 #: Pages of a host that its wrapper is induced from, the fewest that make one, and the bytes of
 #: wrappers that may be broadcast (more are joined by host).
 SAMPLE_PAGES, _LEAST_PAGES, _BROADCAST = 8, 3, 16 << 20
+#: Bytes of a page that may serve for induction (all are extracted), nesting that the tree keeps
+#: (deeper elements join the one at that depth), and pairs of children that are aligned in full.
+_SAMPLE_BYTES, _DEEPEST, _MOST_PAIRS = 1 << 17, 150, 100_000
 
 # Elements of the HTML standard by role.
 _RAW = "script style noscript template svg math iframe object canvas audio video textarea select title".split()
@@ -137,8 +140,9 @@ def parse(page: str | None) -> Node:
                         node.role = value.lower()
                     else:
                         node.names = f"{node.names} {value}".strip()
-            stack[-1].items.append(node)
-            stack.append(node)
+            if len(stack) < _DEEPEST:
+                stack[-1].items.append(node)
+                stack.append(node)
     parts.append(page[at:])
     flush()
     return root
@@ -146,10 +150,15 @@ def parse(page: str | None) -> Node:
 
 def match(a: Node, b: Node, pairs: list[tuple[Node, Node]]) -> int:
     """Simple tree matching: the most nodes of two trees that can be aligned, keeping parents and
-    order, where roots have the same tag and names. ``pairs`` gets the aligned nodes."""
+    order, where roots have the same tag and names. ``pairs`` gets the aligned nodes. Of very many
+    children only those before the first and after the last difference are aligned."""
     if (a.tag, a.names) != (b.tag, b.names):
         return 0
     xs, ys = a.nodes(), b.nodes()
+    if len(xs) * len(ys) > _MOST_PAIRS:
+        n = _match_ends(xs, ys, pairs)
+        pairs.append((a, b))
+        return n + 1
     kept = [[(0, None)] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i, x in enumerate(xs, 1):
         for j, y in enumerate(ys, 1):
@@ -172,6 +181,20 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]]) -> int:
     return 1 + kept[len(xs)][len(ys)][0]
 
 
+def _match_ends(xs: list[Node], ys: list[Node], pairs: list[tuple[Node, Node]]) -> int:
+    total = 0
+    for step in (1, -1):
+        while xs and ys:
+            own: list[tuple[Node, Node]] = []
+            n = match(xs[0 if step > 0 else -1], ys[0 if step > 0 else -1], own)
+            if not n:
+                break
+            total += n
+            pairs.extend(own)
+            xs, ys = (xs[1:], ys[1:]) if step > 0 else (xs[:-1], ys[:-1])
+    return total
+
+
 def induce(pages: list[str]) -> Node | None:
     """The wrapper of a host: the nodes that all pages have with the same text, and what leads to
     them. Slots whose text varies, and nodes that some page lacks, are left out. None for too few
@@ -281,7 +304,7 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     Pages fall into as many classes by hash, and the least hash of each class stands for it: one
     combining aggregation, so that a host with a third of all pages costs no task more.
     """
-    rows = _hosted(pages, url, html).where("_host <> ''").select("_host", "_html", F.xxhash64("_html").alias("k"))
+    rows = _hosted(pages, url, html).where(f"_host <> '' and octet_length(_html) <= {_SAMPLE_BYTES}").select("_host", "_html", F.xxhash64("_html").alias("k"))
     drawn = rows.groupBy("_host", F.pmod("k", F.lit(SAMPLE_PAGES)).alias("c")).agg(F.min_by("_html", "k").alias("html"))
     few = drawn.groupBy(F.col("_host").alias("host")).agg(F.array_sort(F.collect_list("html")).alias("pages"))
 

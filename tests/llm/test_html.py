@@ -31,6 +31,14 @@ def test_wrapper_drops_what_all_pages_share():
     assert H.extract(make(9), loaded) == "Story 9 of many\nMore 63"
 
 
+def test_deep_and_wide_pages():
+    assert H.extract("<div>" * 20_000 + "deep" + "</div>" * 20_000 + "<p>after") == "deep\nafter"
+    wide = "".join(f"<p>{i}</p>" for i in range(2000))
+    assert H.extract(wide) == "\n".join(map(str, range(2000)))
+    assert H.induce([f"<div>Top</div>{wide}<p>{i}</p><div>End</div>" for i in range(3)]) is not None
+    assert H.extract("<article" + " a='" * 5000 + ">x") and H.extract("<" * 20_000) and H.extract("&" * 20_000)
+
+
 def test_simple_tree_matching():
     a, b = H.parse("<div><p>1<p>2<ul><li>x</ul></div>"), H.parse("<div><p>1<ul><li>y<li>z</ul></div>")
     pairs = []
