@@ -21,6 +21,8 @@ from terrafold.operators import quality as Q
 from terrafold.operators import reduction as R
 from terrafold.operators import search as X
 from terrafold.operators import spatial as S
+from terrafold.plans import build as B
+from terrafold.sources import osm as O
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -611,6 +613,46 @@ def tag_filter_name_priority(spark, sf_dir):
     return e.where(F.col("event_type").isin("click", "view", "purchase")).select("event_id", T.tag_name(tags).alias("name"))
 
 
+# --- map extracts -----------------------------------------------------------------------------
+_MAP_SQL = """nodes AS (SELECT c_custkey AS id, cast(23.55 as double) + cast(c_custkey % 40 as double) / cast(100 as double) AS lat, cast(120.2 as double) + cast(c_custkey % 25 as double) / cast(100 as double) AS lon FROM customer WHERE c_custkey % 11 <> 0),
+  ways AS (SELECT s_suppkey AS id, unnest([s_suppkey * 3, s_suppkey * 5 + 1, s_suppkey * 2, s_suppkey * 7]) AS ref, unnest([0, 1, 2, 3]) AS seq FROM supplier),
+  points AS (SELECT w.id, w.seq, n.lat, n.lon FROM ways w JOIN nodes n ON n.id = w.ref)"""
+
+
+def _map_objects(spark, sf_dir):
+    c, s = table(spark, sf_dir, "customer").where("c_custkey % 11 <> 0"), F.col("s_suppkey")
+    part = lambda n: (F.col("c_custkey") % n).cast("double") / F.lit(100.0)
+    tags = F.create_map(F.lit("addr:housenumber"), F.concat((F.col("c_custkey") % 9).cast("string"), F.lit("之２號")), F.lit("addr:city"), F.lit("臺北市"), F.lit("addr:street"), F.col("c_mktsegment"))
+    nodes = c.select(F.lit("node").alias("kind"), F.col("c_custkey").alias("id"), tags.alias("tags"), (F.lit(23.55) + part(40)).alias("lat"), (F.lit(120.2) + part(25)).alias("lon"), F.lit(None).cast("array<long>").alias("refs"))
+    none = F.lit(None).cast("double")
+    ways = table(spark, sf_dir, "supplier").select(F.lit("way").alias("kind"), s.alias("id"), F.lit(None).cast("map<string,string>").alias("tags"), none.alias("lat"), none.alias("lon"), F.array(s * 3, s * 5 + 1, s * 2, s * 7).alias("refs"))
+    return nodes.unionByName(ways)
+
+
+@query(f"WITH {_MAP_SQL}, e AS (SELECT id AS line_id, seq, lon AS x1, lat AS y1, lead(lon) OVER (PARTITION BY id ORDER BY seq) AS x2, lead(lat) OVER (PARTITION BY id ORDER BY seq) AS y2 FROM points) SELECT * FROM e WHERE y2 IS NOT NULL")
+def way_edges(spark, sf_dir):
+    return O.way_edges(O.way_points(_map_objects(spark, sf_dir)))
+
+
+@query(
+    f"""WITH {_MAP_SQL}, inside AS (SELECT id FROM nodes WHERE lat BETWEEN 23.6 AND 23.7 AND lon BETWEEN 120.25 AND 120.3), kept AS (SELECT DISTINCT id FROM ways WHERE ref IN (SELECT id FROM inside))
+    SELECT 'way' AS kind, id FROM kept UNION ALL SELECT 'node', id FROM nodes WHERE id IN (SELECT id FROM inside) OR id IN (SELECT ref FROM ways WHERE id IN (SELECT id FROM kept))"""
+)
+def map_clip(spark, sf_dir):
+    return O.clip(_map_objects(spark, sf_dir), 120.25, 23.6, 120.3, 23.7).select("kind", "id")
+
+
+@query(
+    f"""WITH {_MAP_SQL}, {_SHAPES_SQL}, addr AS (SELECT * FROM nodes), {_COVERS}, free AS (SELECT n.*, c_mktsegment AS street, concat(cast(n.id % 9 as varchar), '之２號') AS number FROM nodes n JOIN customer ON c_custkey = n.id
+      WHERE n.id NOT IN (SELECT c.id FROM covers c JOIN areas a ON a.area_id = c.area_id WHERE a.level = 4 AND a.name = '東縣'))
+    SELECT id AS osm_id, '台北市' AS county, concat('台北市', street, number) AS display_name, concat('台北市', street, replace(replace(number, '２', '2'), '之', '-')) AS display_name_halfwidth,
+      row_number() OVER (ORDER BY id) AS id FROM free"""
+)
+def map_addresses(spark, sf_dir):
+    areas, edges, _, _ = _shapes(spark)
+    return B.map_places(_map_objects(spark, sf_dir), areas, edges, ("東縣",)).select("osm_id", "county", "display_name", "display_name_halfwidth", "id")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
