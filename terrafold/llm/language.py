@@ -80,7 +80,7 @@ def train(labelled: DataFrame, label: str = "lang", text: str = "text", per_lang
         names = list(sums)
         yield pa.record_batch([pa.array(names, pa.string()), pa.array([sums[x].astype("<i8").tobytes() for x in names], pa.binary())], names=["lang", "counts"])
 
-    parts = rows.where(drawn).repartition(8).mapInArrow(count, "lang string, counts binary").collect()
+    parts = rows.where(drawn).repartition(8, "lang").mapInArrow(count, "lang string, counts binary").collect()
     languages = sorted(lang for lang, _ in counts)
     table = np.full((len(languages), BINS), 0.5)
     for lang, data in parts:
