@@ -43,6 +43,8 @@ SAMPLE_DOCS, _SAMPLE_KEYS = 4000, 1 << 17
 BUCKET_ROWS = 1 << 20
 #: Different blocks with one suffix key that one bucket compares; more are compared window by window.
 MOST_BLOCKS = 4096
+#: Blocks of spread keys that may be broadcast (about 64 bytes each).
+_FEW_BLOCKS = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _ANCHORS = "bucket int, key long, block long, id long, h long, at long"
@@ -243,21 +245,26 @@ def _bucketed(docs: DataFrame, length: int, splitters: np.ndarray, hot: np.ndarr
     return dealt.mapInArrow(compare, _FOUND)
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """The same decisions for keys spread over buckets, by counts combined before the shuffle."""
-    same = rows.groupBy("key", "block").agg(F.count("*").alias("same"), F.min(F.struct("id", "h", "at")).alias("first"))
+def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same decisions for keys spread over buckets, by counts combined before the shuffle.
+
+    There is one row per spread key (fewer than buckets), so those are broadcast; the blocks that
+    occur again are counted, and broadcast if few, so that rows of one block stay where they are.
+    """
+    same = scratch.write(rows.groupBy("key", "block").agg(F.count("*").alias("same"), F.min(F.struct("id", "h", "at")).alias("first")))
     of_key = same.groupBy("key").agg(F.count("*").alias("blocks"), F.sum((F.col("same") == 1).cast("int")).alias("single"))
-    known = rows.join(same, ["key", "block"]).join(of_key, "key")
+    again = same.where("same > 1")
+    side = F.broadcast(again) if again.count() <= _FEW_BLOCKS else again
+    known = rows.join(F.broadcast(of_key), "key").join(side, ["key", "block"], "left")
     open_ = (F.col("single") > 0) & (F.col("blocks") > 1)
     many = F.when(F.col("blocks") > MOST_BLOCKS, _MANY).otherwise(0)
     first = F.struct("id", "h", "at") == F.col("first")
     kinds = F.array(
-        F.when(F.col("same") > 1, _WHOLE),
-        F.when(open_ & (F.col("same") == 1), many + _OPEN),
-        F.when(open_ & (F.col("same") > 1) & first, many + _MODEL),
+        F.when(F.col("same").isNotNull(), _WHOLE),
+        F.when(open_ & F.col("same").isNull(), many + _OPEN),
+        F.when(open_ & F.col("same").isNotNull() & first, many + _MODEL),
     )
-    out = known.select(F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"), "key", "block", "id", "h", "at")
-    return out
+    return known.select(F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"), "key", "block", "id", "h", "at")
 
 
 def sort_equal(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
@@ -417,7 +424,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", id
     found = scratch.write(_bucketed(keyed, length, splitters, hot, n))
     rows = found.where(F.col("kind") != _SPREAD)
     if len(hot):
-        rows = rows.unionByName(scratch.write(_across(found.where(F.col("kind") == _SPREAD))))
+        rows = rows.unionByName(scratch.write(_across(found.where(F.col("kind") == _SPREAD), scratch)))
     packed = _compressed(keyed)
     cut = scratch.write(_cut_blocks(packed, rows.where(F.col("kind") != _WHOLE), length, splitters))
     p = F.shiftright("at", 16)
