@@ -371,7 +371,7 @@ def _compare_blocks(cut: DataFrame, length: int, n: int) -> DataFrame:
         order = np.argsort(key, kind="stable")
         limits = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0, [True]]))
         a, b, p = _unpack_at(at)
-        at_once = 1 << 14  # blocks
+        at_once = 1 << 12  # blocks, about 60 windows each
         lo = 0
         while lo < len(limits) - 1:
             hi = max(lo + 1, int(np.searchsorted(limits, limits[lo] + at_once, "right")) - 1)
@@ -473,7 +473,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id
                     at = end
                 rest = b"".join([*kept, data[at:]])
                 doc_id = batch.column(0)[i].as_py()
-                for column, x in zip(out, (None if doc_id == -(1 << 63) else doc_id, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest), strict=True):
+                for column, x in zip(out, (None if doc_id == -(1 << 63) else doc_id, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest if keep_bytes else None), strict=True):
                     column.append(x)
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             names = [x.split()[0] for x in schema.split(", ")]
