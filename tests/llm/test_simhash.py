@@ -7,6 +7,7 @@ import xxhash
 from data import empty, frame, rows
 
 from terrafold.llm import components as C
+from terrafold.llm import shared
 from terrafold.llm import simhash as S
 from terrafold.llm.shared import Scratch
 
@@ -78,3 +79,12 @@ def test_keep_one(spark):
 
 def test_empty_table(spark):
     assert S.near_duplicates(empty(spark)).count() == 0 and S.keep_one(empty(spark)).count() == 0
+
+
+def test_many_dropped_rows_are_joined_by_key(spark, monkeypatch):
+    data = rows(2)
+    few = sorted(map(str, S.keep_one(frame(spark, data)).select("doc_id", "text").collect()))
+    monkeypatch.setattr(shared, "_FEW", -1)
+    many = S.keep_one(frame(spark, data))
+    assert "BroadcastHashJoin" not in many._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(str, many.select("doc_id", "text").collect())) == few
