@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -94,10 +94,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(of_fp, "fp").select("doc_id", "h", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest doc_id (null ids last; of
-    equal ids that of the least text hash; of rows equal in both, any one)."""
-    found = Scratch(docs.sparkSession, "found").write(near_duplicates(docs).select("doc_id", "h", "root"))
+    equal ids that of the least text hash; of rows equal in both, any one). ``groups`` gives
+    (doc_id, h, root) of each row."""
+    found = Scratch(docs.sparkSession, "found").write(groups(docs).select("doc_id", "h", "root"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("h"))
     first = found.groupBy("root").agg(F.min(order).alias("first"))
     ranked = found.join(first, "root").select("doc_id", "h", order.eqNullSafe(F.col("first")).alias("stays"))
