@@ -85,7 +85,8 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id
 
     Positions are counts of words from 0 (from 1 if the text begins with a separator). A posting's
     position less the term's offset is where its window would start; a start that the lists of
-    all chosen terms share is a candidate, and its words are compared.
+    all chosen terms share is a candidate, and its words are compared. Lists are told apart by rank,
+    as rows equal in id and text have every posting more than once.
     """
     scratch = Scratch(docs.sparkSession, "postings")
     tokens = _keyed(docs, id_col, text_col)
@@ -95,7 +96,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id
         index = postings(tokens, terms, size - 1)
         moved = index.join(F.broadcast(terms), "term").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
         payload = F.when(F.col("rank") == 0, F.struct("first", "around"))
-        shared = moved.groupBy("doc_id", "h", "wid", "start").agg(F.count("*").alias("lists"), F.first(payload, True).alias("p"), F.first("n").alias("n"))
+        shared = moved.groupBy("doc_id", "h", "wid", "start").agg(F.bit_count(F.bit_or(F.expr("1 << rank"))).alias("lists"), F.first(payload, True).alias("p"), F.first("n").alias("n"))
         near = shared.where(F.col("lists") == F.least("n", F.lit(LISTS)))
         exact = F.slice("p.around", F.col("start") - F.col("p.first") + 1, F.col("n")) == F.col("words")
         hit = near.join(F.broadcast(block.select("wid", "words")), "wid").where(exact)

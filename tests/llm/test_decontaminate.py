@@ -66,6 +66,16 @@ def test_drop(spark):
     assert left == sorted(x[0] for x in brute(docs, items) if not x[2])
 
 
+def test_repeated_rows_and_null_ids_that_hold_a_window(spark):
+    rng = random.Random(10)
+    items = [(1, prose(rng, 30)), (2, "Lone")]
+    held = prose(rng, 20) + " " + " ".join(items[0][1].split()[5:25])
+    docs = [(1, held)] * 2 + [(None, held)] * 3 + [(2, "a lone word")] * 2 + [(None, "lone")] * 2 + [(3, "clean")] * 2
+    d, b = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    assert collected(D.contamination(d, b)) == brute(docs, items)
+    assert [r["doc_id"] for r in D.drop_contaminated(d, b).collect()] == [3, 3]
+
+
 def test_proximity(spark):
     b = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
     d = frame(spark, [(1, "x alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, "alpha z z beta gamma delta epsilon zeta eta theta iota kappa"), (3, "kappa " + "x " * 40 + "alpha beta gamma delta epsilon zeta eta theta iota")])
