@@ -36,6 +36,25 @@ def test_against_brute_force(spark):
     assert {1000 + 10 * k for k in range(30)} <= {r["doc_id"] for r in got}
 
 
+def test_a_large_group_of_loose_copies(spark):
+    rng = random.Random(9)
+    words, edits = prose(rng, 150).split(), prose(rng, 6).split()
+    data = []
+    for i in range(120):
+        copy = list(words)
+        for at in rng.sample(range(150), rng.randint(1, 9)):
+            copy[at] = rng.choice(edits)
+        data.append((i, " ".join(copy)))
+    sets = {i: R.shingles(t) for i, t in data}
+    near = [(a, b) for a in sets for b in sets if a < b and R.similarity(sets[a], sets[b]) >= 0.8]
+    want = least(sets, near)
+    got = R.similar_groups(frame(spark, data)).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["root"], set()).add(r["doc_id"])
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(i for i in want if want[i] == k) for k in set(want.values())) and len(groups) > 5
+
+
 def test_a_chain_through_a_band(spark):
     words = prose(random.Random(6), 300).split()
     for at in range(8):  # each 12 words on from the one before: the ends are not similar
