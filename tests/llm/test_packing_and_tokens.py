@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
@@ -31,40 +32,72 @@ def test_same_ids_as_the_tokenizer(text):
     assert encoder()(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=30))
-@settings(max_examples=200, deadline=None)
-def test_best_fit_is_sequential_best_fit(counts):
-    bins, ranks = defaultdict(list), defaultdict(list)
-    for length, a, b, first, offset in P.best_fit(counts, 64):
-        for r in range(a, b):
-            bins[first + r - a].append((offset, length))
-            ranks[length].append(r)
-    assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(n)) for k, n in counts.items()}
-    for parts in bins.values():
-        at = 0
-        for offset, length in sorted(parts):
-            assert offset == at
-            at += length
-        assert at <= 64
+def plain_best_fit(lengths, size):
     gaps = []
-    for length in sorted(counts, reverse=True):
-        for _ in range(counts[length]):
-            fits = [g for g in gaps if g >= length]
-            gaps.append((gaps.pop(gaps.index(min(fits))) if fits else 64) - length)
-    assert len(bins) == len(gaps)
+    for length in sorted(lengths, reverse=True):
+        at = bisect_left(gaps, length)
+        left = (gaps.pop(at) if at < len(gaps) else size) - length
+        insort(gaps, left)
+    return len(gaps)
 
 
-def test_pack(spark, plain):
-    got = [r.asDict() for r in P.pack(frame(spark, DATA)).collect()]
-    sequences = defaultdict(list)
+def sequences_of(got, size):
+    found = defaultdict(list)
     for r in got:
-        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
-    for parts in sequences.values():
+        found[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in found.values():
         at = 0
         for offset, length in sorted(parts):
             assert offset == at
             at += length
-        assert at <= 1024
+        assert at <= size
+    return len(found)
+
+
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5)), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_leftovers_meet_as_on_one_stack(counts):
+    links, found = P.carry([(part, a, b) for part, (a, b) in enumerate(counts)])
+    want, stack = [], []
+    for part, (a, b) in enumerate(counts):
+        got = 0
+        for place in range(a):
+            if stack:
+                want.append(((part, place), stack.pop()))
+                got += 1
+        assert found[part] == got
+        stack += [(part, place) for place in range(b)]
+    assert sorted(want) == sorted(((p, first + i), (q, top - i)) for _, p, first, n, q, top in links for i in range(n))
+    assert len(links) <= 2 * len(counts)
+
+
+@pytest.mark.parametrize(("size", "partitions"), [(1024, 1), (1024, 16), (64, 4), (1, 2)])
+def test_about_as_few_sequences_as_plain_best_fit(spark, sf_dir, size, partitions):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet") if size == 1024 else frame(spark, DATA)
+        got = P.pack(docs, size=size).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    plain = plain_best_fit([r["length"] for r in got], size)
+    assert len({(r["doc_id"], r["piece"]) for r in got}) == len({(r["doc_id"], r["piece"]) for r in P.pieces(docs, size=size).collect()})
+    assert plain <= sequences_of(got, size) <= plain * (1 if partitions == 1 else 1.03) + (partitions > 1)
+
+
+def test_a_round_is_a_range_sort_and_a_sweep(spark):
+    cut = P.pieces(frame(spark, DATA))
+    gaps = spark.createDataFrame([(1, 500), (2, 30)], "seq long, width long")
+    plan = P.sweep(cut.where("length <= 512"), gaps)._jdf.queryExecution().sparkPlan().toString()
+    assert "rangepartitioning" in plan.lower() and "MapInArrow" in plan
+    rows = P.sweep(cut.where("length <= 512"), gaps).collect()
+    assert {r["seq"] for r in rows if r["state"] == P._MATCHED} == {1, 2}
+
+
+def test_pack(spark, plain):
+    got = [r.asDict() for r in P.pack(frame(spark, DATA)).collect()]
+    n = sequences_of(got, 1024)
     want = []
     for doc_id, text in DATA:
         ids = plain.encode(text or "", add_special_tokens=False).ids + [2]
@@ -72,7 +105,7 @@ def test_pack(spark, plain):
         cuts = [0, *range(first, len(ids) + 1, 1024)]
         want += [(str(doc_id), k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
     assert sorted((str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == sorted(want)
-    assert len(sequences) <= 1.05 * sum(w[3] for w in want) / 1024 + 2
+    assert n == plain_best_fit([w[3] for w in want], 1024)
     assert P.pack(empty(spark)).count() == 0
 
 
