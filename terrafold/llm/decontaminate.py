@@ -1,4 +1,9 @@
-"""Benchmark passages in documents by a positional inverted index; native expressions only."""
+"""Benchmark passages in documents by a positional inverted index; native expressions only.
+
+Documents are cut into words once. The index holds the places of the terms that decide a window: its
+rarest two. It is written once, with places moved to where the window would start; exact phrases and
+proximity matches both read it.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrafold.llm.shared import Scratch, without
+from terrafold.llm.shared import Scratch, small, without
 
 WINDOW = 10
 #: Terms whose lists are intersected for each window, the rarest first.
 LISTS = 2
-#: Windows whose terms are looked up at once; more windows take more passes, so that what is
-#: broadcast (their words, and LISTS terms and offsets for each) never grows beyond this. Which items
-#: a window is from is joined, as a window may be from any number of them.
-BLOCK = 200_000
+#: Words by which the rarest terms of a proximity match may be off the distance that they have in the window.
+SLOP = 5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -36,122 +39,128 @@ def _count(split: Column) -> Column:
     return (n - (split[0] == "").cast("int") - ((n > 1) & (F.element_at(split, -1) == "")).cast("int")).cast("long")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, h, w): id and hash of the text stand for a row; rows equal in both have the same words."""
+def tokens(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rid, doc_id, h, n_words, w): the words of each row, written. rid is a number of the row, so that
+    rows that are equal, or have no id, are told apart; h is the hash of the text."""
     text = F.col(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), _split(text).alias("w"))
+    cut = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), _split(text).alias("w"))
+    return scratch.write(cut.select("rid", "doc_id", "h", _count(F.col("w")).alias("n_words"), "w"))
+
 
+def windows(benchmark: DataFrame, scratch: Scratch, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(wid, n, words), the different windows of all items, and (wid, item_id), the items of each.
 
-def windows(benchmark: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(phrase, n, item_ids): the different windows of all items. Items without words have none,
-    items of fewer than ``size`` words are one window; null ids aren't listed."""
+    Items without words have no windows, items of fewer than ``size`` words are one. Null ids have
+    windows but aren't listed.
+    """
     w = F.col("w")
     items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), words(F.col(text_col)).alias("w")).where(F.size(w) > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1)))
     each = items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice(w, i, size))).alias("words"))
-    return each.groupBy("words").agg(F.collect_set("item_id").alias("item_ids")).withColumn("n", F.size("words"))
+    found = scratch.write(each.select("words").distinct().select(F.monotonically_increasing_id().alias("wid"), F.size("words").alias("n"), "words"))
+    return found, scratch.write(each.where("item_id is not null").join(found, "words").select("wid", "item_id").distinct())
 
 
-def _rarest(of: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(wid, rank, term, offset) of the LISTS rarest terms of each window, by how often they occur
-    in the documents. A window with a term that no document has is left out: it occurs nowhere."""
-    at = of.select("wid", "n", F.posexplode("words").alias("offset", "term"))
-    vocabulary = at.select("term").distinct()
-    counts = tokens.select(F.explode("w").alias("term")).join(F.broadcast(vocabulary), "term").groupBy("term").count()
-    known = at.join(counts, "term")
+def rarest(found: DataFrame, cut: DataFrame, scratch: Scratch) -> DataFrame:
+    """(wid, rank, term, offset, n, whole): the LISTS rarest terms of each window that occur in the
+    documents, by how often they do; whole if all its terms do."""
+    at = scratch.write(found.select("wid", "n", F.posexplode("words").alias("offset", "term")))
+    vocabulary = scratch.write(at.select("term").distinct())
+    counts = cut.select(F.explode("w").alias("term")).join(small(vocabulary, "term"), "term").groupBy("term").count()
     by_window = Window.partitionBy("wid")
-    ranked = known.withColumn("found", F.count("*").over(by_window)).where("found = n")
+    ranked = at.join(counts, "term").withColumn("whole", F.count("*").over(by_window) == F.col("n"))
     rank = F.row_number().over(by_window.orderBy("count", "offset")) - 1
-    return ranked.withColumn("rank", rank).where(F.col("rank") < LISTS).select("wid", "rank", "term", "offset", "n")
-
+    return scratch.write(ranked.withColumn("rank", rank).where(F.col("rank") < LISTS).select("wid", "rank", "term", "offset", "n", "whole"))
+
+
+class Index:
+    """The written index of documents for a benchmark: ``cut`` words, ``found`` windows, ``items`` of
+    windows, and ``lists`` (rid, wid, rank, start, n, whole): the places of the rarest terms of
+    each window, less the term's offset in it: where the window would start. Places are counts of
+    words from 0 (from 1 if the text begins with a separator)."""
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"):
+        self.scratch = scratch = Scratch(docs.sparkSession, "postings")
+        self.cut = tokens(docs, scratch, id_col, text_col)
+        self.found, self.items = windows(benchmark, scratch, size)
+        terms = rarest(self.found, self.cut, scratch)
+        each = self.cut.select("rid", F.posexplode("w").alias("pos", "term"))
+        lists = each.join(small(terms, "term"), "term")
+        self.lists = scratch.write(lists.select("rid", "wid", "rank", (F.col("pos") - F.col("offset")).alias("start"), "n", "whole"))
+
+    def phrases(self) -> DataFrame:
+        """(rid, wid, start, n): every occurrence of a window in a document.
+
+        A start that the lists of all chosen terms share is a candidate. The other words of the
+        candidates are looked up where they would stand, each by its own row and place.
+        """
+        near = self.lists.where("whole and start >= 0").groupBy("rid", "wid", "start", "n").agg(F.bit_count(F.bit_or(F.expr("1 << rank"))).alias("lists"))
+        near = self.scratch.write(near.where(F.col("lists") == F.least("n", F.lit(LISTS))).drop("lists"))
+        wanted = near.join(small(self.found.select("wid", "words"), "array_join(words, ' ')"), "wid").select("rid", "wid", "start", "n", F.posexplode("words").alias("k", "term"))
+        wanted = wanted.select("rid", "wid", "start", "n", (F.col("start") + F.col("k")).alias("pos"), "term")
+        rows = small(self.scratch.write(near.select("rid").distinct()))
+        there = self.cut.join(rows, "rid").select("rid", F.posexplode("w").alias("pos", "term"))
+        there = there.join(self.scratch.write(wanted.select("rid", "pos").distinct()).hint("shuffle_hash"), ["rid", "pos"], "left_semi")
+        same = wanted.join(there, ["rid", "pos", "term"]).groupBy("rid", "wid", "start", "n").agg(F.count("*").alias("found"))
+        return self.scratch.write(same.where("found = n").drop("found"))
+
+    def near(self, slop: int = SLOP) -> DataFrame:
+        """(rid, wid, start): where the two rarest terms of a window stand as far apart as in it, or up
+        to ``slop`` words more or less, whatever stands between; the first such place of each
+        document. The term itself, for a window of one word; other windows of which only one term
+        occurs have none."""
+        a = self.lists.where("rank = 0").select("rid", "wid", "start", "n", F.expr(f"start div {slop + 1}").alias("cell"))
+        b = self.lists.where("rank = 1").select("rid", "wid", F.col("start").alias("other"), F.expr(f"start div {slop + 1}").alias("at"))
+        cells = b.select("rid", "wid", "other", F.explode(F.expr("array(at - 1, at, at + 1)")).alias("cell"))
+        cells = cells.groupBy("rid", "wid", "cell").agg(F.sort_array(F.collect_set("other")).alias("others"))
+        close = F.exists("others", lambda o: F.abs(o - F.col("start")) <= slop)
+        pairs = a.join(cells, ["rid", "wid", "cell"]).where(close).select("rid", "wid", "start")
+        single = a.where("n = 1").select("rid", "wid", "start")
+        return pairs.unionByName(single).groupBy("rid", "wid").agg(F.min("start").alias("start"))
+
+    def listed(self, matches: DataFrame, name: str) -> DataFrame:
+        """(rid, name): the sorted ids of the items whose windows ``matches`` has."""
+        pairs = matches.select("rid", "wid").distinct().join(self.items, "wid").select("rid", "item_id").distinct()
+        return pairs.groupBy("rid").agg(F.array_sort(F.collect_list("item_id")).alias(name))
 
-def postings(tokens: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
-    """(term, doc_id, h, pos, first, around): where ``terms`` stand, with the words within
-    ``reach`` (from position ``first`` on), so that a phrase is confirmed without the text."""
-    each = tokens.select("doc_id", "h", "w", F.posexplode("w").alias("pos", "term"))
-    hits = each.join(F.broadcast(terms.select("term").distinct()), "term")
-    first = F.greatest(F.col("pos") - reach, F.lit(0))
-    return hits.select("term", "doc_id", "h", "pos", first.alias("first"), F.slice("w", first + 1, F.col("pos") - first + reach + 1).alias("around"))
 
+def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, start, n, wid): every occurrence of a window in a document, for each row."""
+    index = Index(docs, benchmark, size, id_col, text_col)
+    return index.phrases().join(index.cut.select("rid", "doc_id", "h"), "rid").drop("rid")
 
-def _blocks(found: DataFrame, scratch: Scratch) -> list[DataFrame]:
-    kept = scratch.write(found.select(F.monotonically_increasing_id().alias("wid"), "words", "n", "item_ids"))
-    blocks = -(-kept.count() // BLOCK)
-    return [kept.where(F.pmod(F.xxhash64("wid"), F.lit(blocks)) == k) for k in range(blocks)]
 
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, start, wid): the proximity matches (``Index.near``) of each row."""
+    index = Index(docs, benchmark, size, id_col, text_col)
+    return index.near(slop).join(index.cut.select("rid", "doc_id", "h"), "rid").drop("rid")
 
-def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h, start, n, item_ids): every occurrence of a window in a document.
 
-    Positions are counts of words from 0 (from 1 if the text begins with a separator). A posting's
-    position less the term's offset is where its window would start; a start that the lists of
-    all chosen terms share is a candidate, and its words are compared. Lists are told apart by rank,
-    as rows equal in id and text have every posting more than once.
-    """
-    scratch = Scratch(docs.sparkSession, "postings")
-    tokens = _keyed(docs, id_col, text_col)
-    out = None
-    for block in _blocks(windows(benchmark, size), scratch):
-        terms = scratch.write(_rarest(block, tokens))
-        index = postings(tokens, terms, size - 1)
-        moved = index.join(F.broadcast(terms), "term").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
-        payload = F.when(F.col("rank") == 0, F.struct("first", "around"))
-        shared = moved.groupBy("doc_id", "h", "wid", "start").agg(F.bit_count(F.bit_or(F.expr("1 << rank"))).alias("lists"), F.first(payload, True).alias("p"), F.first("n").alias("n"))
-        near = shared.where(F.col("lists") == F.least("n", F.lit(LISTS)))
-        exact = F.slice("p.around", F.col("start") - F.col("p.first") + 1, F.col("n")) == F.col("words")
-        hit = near.join(F.broadcast(block.select("wid", "words")), "wid").where(exact)
-        hit = hit.join(block.select("wid", "item_ids"), "wid").select("doc_id", "h", "start", "n", "item_ids")
-        out = hit if out is None else out.unionByName(hit)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, h long, start int, n int, item_ids array<string>")
-    return out
-
-
-def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 5, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h, start, item_ids): where the rarest terms of a window stand within ``slop`` words of
-    the places that the window gives them, whether or not the words between are equal."""
-    scratch = Scratch(docs.sparkSession, "proximity")
-    tokens = _keyed(docs, id_col, text_col)
-    out = None
-    for block in _blocks(windows(benchmark, size), scratch):
-        terms = scratch.write(_rarest(block, tokens))
-        moved = postings(tokens, terms, 0).join(F.broadcast(terms), "term").select("doc_id", "h", "wid", "rank", "n", (F.col("pos") - F.col("offset")).alias("start"))
-        a, b = moved.where("rank = 0").alias("a"), moved.where("rank = 1").alias("b")
-        same = F.expr("a.doc_id <=> b.doc_id and a.h = b.h and a.wid = b.wid and a.start div 1024 = b.cell and abs(a.start - b.start) <= {slop}".replace("{slop}", str(slop)))
-        cells = b.withColumn("cell", F.explode(F.expr(f"array_distinct(array((start - {slop}) div 1024, start div 1024, (start + {slop}) div 1024))"))).alias("b")
-        hit = a.join(cells, same).groupBy("a.doc_id", "a.h", "a.wid").agg(F.min("a.start").alias("start"))
-        hit = hit.join(block.select("wid", "item_ids"), "wid").select("doc_id", "h", "start", "item_ids")
-        out = hit if out is None else out.unionByName(hit)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, h long, start int, item_ids array<string>")
-    return out
-
-
-def _per_document(hits: DataFrame) -> DataFrame:
-    """(doc_id, h, n_hit, item_ids): words inside any occurrence, counted once, and the items."""
-    doc = ["doc_id", "h"]
-    spans = hits.groupBy(*doc, "start").agg(F.max(F.col("start") + F.col("n")).alias("end"))
-    before = F.max("end").over(Window.partitionBy(*doc).orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+def _covered(hits: DataFrame) -> DataFrame:
+    """(rid, n_hit): words inside any occurrence, counted once."""
+    spans = hits.groupBy("rid", "start").agg(F.max(F.col("start") + F.col("n")).alias("end"))
+    before = F.max("end").over(Window.partitionBy("rid").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.greatest(F.col("end") - F.greatest("start", F.coalesce("before", F.lit(0))), F.lit(0))
-    covered = spans.withColumn("before", before).groupBy(*doc).agg(F.sum(fresh).cast("long").alias("n_hit"))
-    items = hits.select(*doc, F.explode("item_ids").alias("item")).groupBy(*doc).agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
-    same = F.expr("c.doc_id <=> i.doc_id and c.h = i.h")
-    return covered.alias("c").join(items.alias("i"), same, "left").select("c.doc_id", "c.h", "n_hit", "item_ids")
+    return spans.withColumn("before", before).groupBy("rid").agg(F.sum(fresh).cast("long").alias("n_hit"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_hit, item_ids): a row per row of ``docs``.
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", slop: int = SLOP) -> DataFrame:
+    """(doc_id, n_words, n_hit, item_ids, near_ids): a row per row of ``docs``.
 
-    Null and empty texts have no words. Repeated rows and null ids get the result of their text.
-    An empty benchmark hits nothing; other columns are not read.
+    item_ids are the items of which a window occurs; near_ids those of which one has a proximity
+    match. Null and empty texts have no words. Repeated rows and null ids get the result of their
+    text. An empty benchmark hits nothing; other columns are not read, whatever their names.
     """
-    found = _per_document(phrase_matches(docs, benchmark, size, id_col, text_col)).alias("f")
-    rows = _keyed(docs, id_col, text_col).select("doc_id", "h", _count(F.col("w")).alias("n_words")).alias("d")
-    joined = rows.join(found, F.expr("d.doc_id <=> f.doc_id and d.h = f.h"), "left")
+    index = Index(docs, benchmark, size, id_col, text_col)
+    hits = index.phrases()
+    out = index.cut.select("rid", "doc_id", "n_words")
+    for part in (_covered(hits), index.listed(hits, "item_ids"), index.listed(index.near(slop), "near_ids")):
+        out = out.join(part, "rid", "left")
     none = F.expr("cast(array() as array<string>)")
-    return joined.select("d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
+    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("near_ids", none).alias("near_ids"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` without those that hold a window of the benchmark."""
+    """``docs`` without those that hold a window of the benchmark: an exact one, as two rare terms near
+    each other are also in clean documents. Null texts and null ids stay or go by their text."""
     return without(docs, phrase_matches(docs, benchmark, size))

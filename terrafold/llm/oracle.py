@@ -37,10 +37,19 @@ WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
  occ AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.k = dw.k),
  hits AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM occ) GROUP BY doc_id),
  items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
-           FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item FROM occ) GROUP BY doc_id)
+           FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item FROM occ) GROUP BY doc_id),
+ dt AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM d),
+ counts AS (SELECT term, count(*) AS c FROM dt GROUP BY term),
+ wt AS (SELECT k, n, unnest(string_split(k, ' ')) AS term, unnest(range(n)) AS off FROM (SELECT DISTINCT k, n FROM bw)),
+ ranked AS (SELECT k, n, wt.term, off, row_number() OVER (PARTITION BY k, n ORDER BY c, off) AS r FROM wt JOIN counts ON counts.term = wt.term),
+ places AS (SELECT doc_id, k, n, r, pos - off AS s FROM ranked JOIN dt ON dt.term = ranked.term WHERE r <= 2),
+ near AS (SELECT DISTINCT a.doc_id, a.k, a.n FROM places a JOIN places b ON b.doc_id = a.doc_id AND b.k = a.k AND b.n = a.n AND abs(a.s - b.s) <= 5 WHERE a.r = 1 AND (b.r = 2 OR a.n = 1)),
+ nears AS (SELECT doc_id, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS listed
+           FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item FROM near JOIN bw ON bw.n = near.n AND bw.k = near.k) GROUP BY doc_id)
 SELECT d.doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id"""
+  sha256(coalesce(items.listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near, 0) AS n_near, sha256(coalesce(nears.listed, '')) AS near_sha256
+FROM d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id LEFT JOIN nears ON nears.doc_id = d.doc_id"""
 
 # The base kinds as the contract states them, with the order in which they are listed.
 _KINDS = {

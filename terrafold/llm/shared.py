@@ -55,8 +55,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Keys that may be broadcast: 24 bytes each.
-_FEW = 200_000
+#: Keys that may be broadcast, and the bytes of their strings.
+_FEW, _FEW_BYTES = 200_000, 16 << 20
+
+
+def small(table: DataFrame, strings: str | None = None) -> DataFrame:
+    """A written ``table``, to be broadcast if it is counted to be small (its column ``strings``
+    too); a larger one is dealt by the join's keys."""
+    size = F.octet_length(F.expr(strings)) if strings else F.lit(0)
+    rows, length = table.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(table) if rows <= _FEW and length <= _FEW_BYTES else table.hint("merge")
 
 
 def without(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:

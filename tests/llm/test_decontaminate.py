@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 
 from data import empty, frame, prose, rows
 
 from terrafold.llm import decontaminate as D
+from terrafold.llm import shared
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -54,9 +57,9 @@ def test_against_brute_force(spark):
     assert collected(D.contamination(d, b)) == brute(docs, items)
 
 
-def test_blocks_of_windows_give_the_same(spark, monkeypatch):
+def test_nothing_broadcast_gives_the_same(spark, monkeypatch):
     docs, items, d, b = tables(spark)
-    monkeypatch.setattr(D, "BLOCK", 60)
+    monkeypatch.setattr(shared, "_FEW", -1)
     assert collected(D.contamination(d, b)) == brute(docs, items)
 
 
@@ -76,9 +79,49 @@ def test_repeated_rows_and_null_ids_that_hold_a_window(spark):
     assert [r["doc_id"] for r in D.drop_contaminated(d, b).collect()] == [3, 3]
 
 
+def brute_near(docs, items, slop=D.SLOP):
+    cut = [words(t) for _, t in docs]
+    counts = Counter(x for w in cut for x in w)
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        for k in range(max(1, len(w) - 9)) if w else []:
+            windows.setdefault(tuple(w[k : k + 10]), set()).add(None if i is None else str(i))
+    rare = {x: sorted((counts[t], o, t) for o, t in enumerate(x) if t in counts)[:2] for x in windows}
+    out = []
+    for (i, _), w in zip(docs, cut, strict=True):
+        at, found = {}, set()
+        for pos, x in enumerate(w):
+            at.setdefault(x, []).append(pos)
+        for x, r in rare.items():
+            if r and len(x) == 1 and r[0][2] in at:
+                found |= windows[x]
+            if len(r) == 2 and r[0][2] in at and r[1][2] in at:
+                later = sorted(p - r[1][1] for p in at[r[1][2]])
+                for p in at[r[0][2]]:
+                    k = bisect_left(later, p - r[0][1] - slop)
+                    if k < len(later) and later[k] <= p - r[0][1] + slop:
+                        found |= windows[x]
+                        break
+        out.append((str(i), tuple(sorted(x for x in found if x is not None))))
+    return sorted(out)
+
+
+def test_proximity_against_brute_force(spark):
+    docs, items, d, b = tables(spark)
+    rng = random.Random(12)
+    for k, (_, t) in enumerate(items):  # passages with a word more, a word less and a word changed
+        w = (t or "").split()
+        for j, changed in enumerate((w[:6] + ["more"] + w[6:], w[:6] + w[7:], w[:6] + ["other"] + w[7:])):
+            docs.append((4000 + 3 * k + j, prose(rng, 12) + " " + " ".join(changed)))
+    got = D.contamination(frame(spark, docs), b).collect()
+    assert sorted((str(r["doc_id"]), tuple(r["near_ids"])) for r in got) == brute_near(docs, items)
+    assert any(r["near_ids"] and not r["item_ids"] for r in got)
+
+
 def test_proximity(spark):
     b = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
-    d = frame(spark, [(1, "x alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, "alpha z z beta gamma delta epsilon zeta eta theta iota kappa"), (3, "kappa " + "x " * 40 + "alpha beta gamma delta epsilon zeta eta theta iota")])
+    d = frame(spark, [(1, "x alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, "alpha z z beta gamma delta epsilon zeta eta theta iota kappa"), (3, "kappa " + "x " * 40 + "alpha beta gamma delta epsilon zeta eta theta iota"), (4, "alpha kappa " + "alpha " * 50)])
     assert {r["doc_id"] for r in D.proximity_matches(d, b, slop=3).collect()} == {1, 2, 3}
     assert {r["doc_id"] for r in D.phrase_matches(d, b).collect()} == {1}
 
