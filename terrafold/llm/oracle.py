@@ -58,24 +58,29 @@ _KINDS = {
     "card": r"[0-9](?:[ -]?[0-9])+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-_PROPOSED = " UNION ALL ".join(f"SELECT doc_id, {k} AS rank, '{name}' AS kind, regexp_extract_all(t, '{p}') AS m, regexp_split_to_array(t, '{p}') AS parts FROM docs" for k, (name, p) in enumerate(_KINDS.items()))
+_LOCAL = r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"
+_CALL = r"(^|[^\pL])(phone|call|tel|fax|mobile)"
+_PROPOSED = " UNION ALL ".join(f"SELECT doc_id, {k} AS rank, '{name}' AS kind, regexp_extract_all(t, '{p}') AS m, regexp_split_to_array(t, '{p}') AS parts FROM docs" for k, (name, p) in enumerate([*_KINDS.items(), ("iban", ""), ("local", _LOCAL)]) if p)
 
 PII = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
  proposed AS ({_PROPOSED}),
- each AS (SELECT doc_id, rank, kind, i, m[i] AS v, length(parts[i]) AS gap FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM proposed)),
- placed AS (SELECT doc_id, rank, kind, v, sum(gap + length(v)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM each),
+ each AS (SELECT doc_id, rank, kind, i, m[i] AS v, length(parts[i]) AS gap, right(parts[i], 40) AS before, left(parts[i + 1], 40) AS after FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM proposed)),
+ placed AS (SELECT doc_id, rank, kind, v, before, after, sum(gap + length(v)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM each),
  found AS (SELECT *, stop - length(v) AS start, regexp_replace(v, '[^0-9]', '', 'g') AS d FROM placed),
  summed AS (SELECT *, list_sum(list_transform(range(1, length(d) + 1), lambda j: CASE WHEN (length(d) - j) % 2 = 1 THEN
      CASE WHEN cast(d[j] AS int) > 4 THEN cast(d[j] AS int) * 2 - 9 ELSE cast(d[j] AS int) * 2 END ELSE cast(d[j] AS int) END)) AS luhn FROM found),
  kept AS (SELECT * FROM summed WHERE CASE kind WHEN 'email' THEN true
      WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: length(ltrim(x, '0')) > 3 OR try_cast(x AS int) > 255)) = 0
-     WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND luhn % 10 = 0 ELSE length(d) BETWEEN 9 AND 15 END),
+     WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND luhn % 10 = 0
+     WHEN 'local' THEN NOT regexp_matches(before, '[0-9][ ().-]*$') AND NOT regexp_matches(after, '^[ .-]?[0-9]')
+       AND (regexp_matches(lower(before), '{_CALL}') OR regexp_matches(lower(after), '{_CALL}')) ELSE length(d) BETWEEN 9 AND 15 END),
  listed AS (SELECT doc_id, string_agg(kind || ':' || cast(start AS bigint) || ':' || cast(stop AS bigint), ',' ORDER BY start, rank) AS spans,
+     string_agg(kind || ':' || cast(start AS bigint) || ':' || cast(stop AS bigint), ',' ORDER BY start, rank) FILTER (WHERE kind <> 'local') AS base,
      count(*) FILTER (WHERE kind = 'email') AS n_email, count(*) FILTER (WHERE kind = 'ip') AS n_ip,
      count(*) FILTER (WHERE kind = 'card') AS n_card, count(*) FILTER (WHERE kind = 'phone') AS n_phone FROM kept GROUP BY doc_id)
 SELECT docs.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
-  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN listed ON listed.doc_id = docs.doc_id"""
 
 REPEATS = """

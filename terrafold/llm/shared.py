@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.runtime import ship_package
@@ -78,3 +79,35 @@ def without(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:
     side = F.broadcast(side) if keys.count() <= _FEW else side.hint("shuffle_hash")
     same = F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id")) & F.xxhash64(f"docs.{text}").eqNullSafe(F.col("bad.h"))
     return docs.alias("docs").join(side, same, "left_anti")
+
+
+#: Values that one step of ``running`` takes together.
+_STEP = 256
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def in_steps(values: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of every ``_STEP`` elements of an array, as an array."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(_STEP))
+    return F.transform(starts, lambda at: use(F.slice(values, at + 1, F.lit(_STEP))))
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """All leading sums (or maxima: whatever ``combine`` makes of two) of an array of longs, from 0.
+
+    Accumulating an array copies it with every element, so that is only done within steps; what
+    the steps before give is then combined with each of their elements.
+    """
+    none = "cast(array() as array<bigint>)"
+    last = lambda found: F.coalesce(F.get(found, F.size(found) - 1), F.lit(0).cast("bigint"))
+    along = lambda part: F.aggregate(part, F.expr(none), lambda acc, x: F.concat(acc, F.array(combine(last(acc), x))))
+
+    def joined(steps: Column) -> Column:
+        before = F.concat(F.array(F.lit(0).cast("bigint")), along(F.transform(steps, last)))
+        return let(before, lambda b: F.flatten(F.transform(steps, lambda part, i: F.transform(part, lambda x: combine(F.get(b, i), x)))))
+
+    return let(in_steps(values, along), joined)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from data import empty, frame, rows
@@ -59,6 +60,38 @@ def test_context_raises_the_score(spark):
     assert got[0]["pii"][0]["score"] > got[1]["pii"][0]["score"]
 
 
+def test_context_decides_for_numbers_without_a_country(spark):
+    rows_ = [(1, "call (555) 123-4567 now"), (2, "part 555 123-4567"), (3, "phone +1 555 123-4567"), (4, "tel 9555 123 4567"), (5, "555-123-4567, mobile"), (6, "555.123.4567" + " x" * 40 + " fax")]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["pii"] if s["kind"] == "local"] for r in P.find(frame(spark, rows_)).collect()}
+    assert got == {1: [(5, 19)], 2: [], 3: [], 4: [], 5: [(0, 12)], 6: []}
+    assert P.find(frame(spark, rows_), least_score=0.4).where("exists(pii, s -> s.kind = 'local')").count() == 4
+
+
+def plain_redact(text, spans):
+    out, at = "", 0
+    for s in spans:
+        if s["start"] >= at:
+            out += text[at : s["start"]] + "[" + s["kind"].upper() + "]"
+        at = max(at, s["end"])
+    return out + text[at:]
+
+
+def test_redact_is_the_plain_replacement(spark):
+    data = frame(spark, [(i, t) for i, t in enumerate(texts())])
+    spans = {r["doc_id"]: (r["text"], r["pii"]) for r in P.find(data).collect()}
+    assert all(r["text"] == plain_redact(*spans[r["doc_id"]]) for r in P.redact(data).collect())
+
+
+def test_very_many_matches_of_one_text(spark):
+    text = " ".join(f"é user{i}@mail{i}.org" + (", 10.0.0.1" if i % 5 == 0 else "") for i in range(50_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    found = P.find(df).first()["pii"]
+    assert [(s["kind"], s["start"], s["end"]) for s in found if s["rank"] < 4] == base(text) and len(found) == 60_000
+    assert P.redact(df).first()["text"] == plain_redact(text, found)
+    assert time.monotonic() - began < 60
+
+
 def test_redact(spark):
     out = {r["doc_id"]: r["text"] for r in P.redact(frame(spark, [(1, "é a@b.cd, 10.0.0.1!"), (2, None), (3, "none"), (4, "")])).collect()}
     assert out == {1: "é [EMAIL], [IP]!", 2: None, 3: "none", 4: ""}
