@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.llm.shared import let, running
+
 # The marks of the template.
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -82,25 +84,43 @@ def render(convs: DataFrame) -> DataFrame:
     return out.select("conv_id", "formatted", "level")
 
 
-def loss_spans(formatted: Column, learned: str = "assistant") -> Column:
-    """array<struct<start, length>> of the escaped bodies to learn, in code points of ``formatted``."""
+def _chunks(formatted: Column) -> Column:
     chunks = F.split(formatted, r"\Q" + START + r"\E", -1)
-    rest = F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)").alias("spans"))
+    return F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))
 
-    def step(acc: Column, c: Column) -> Column:
-        line = F.locate("\n", c)
-        span = F.struct((acc["at"] + len(START) + line).cast("bigint").alias("start"), (F.length(c) - line - len(END) - 1).cast("bigint").alias("length"))
-        mine = _unescape(F.substring(c, F.lit(1), line - 1), True) == learned
-        return F.struct((acc["at"] + len(START) + F.length(c)).cast("bigint").alias("at"), F.when(mine, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    return F.aggregate(rest, zero, step, lambda acc: acc["spans"])
+def _masked(formatted: Column, learned: str) -> Column:
+    """array<struct<start, length, body>> of the bodies to learn, escaped, as they stand in ``formatted``."""
+
+    def spans(rest: Column) -> Column:
+        ends = running(F.transform(rest, lambda c: (F.length(c) + len(START)).cast("bigint")), lambda x, y: x + y)
+
+        def span(x: Column) -> Column:
+            c, line = x["c"], F.locate("\n", x["c"])
+            length = F.length(c) - line - len(END) - 1
+            return F.struct(
+                (x["end"] - F.length(c) + line).cast("bigint").alias("start"), length.cast("bigint").alias("length"), F.substring(c, line + 1, length).alias("body"), (_unescape(F.substring(c, F.lit(1), line - 1), True) == learned).alias("mine")
+            )
+
+        return F.filter(F.transform(F.arrays_zip(rest.alias("c"), ends.alias("end")), span), lambda x: x["mine"])
+
+    return let(_chunks(formatted), spans)
+
+
+def loss_spans(formatted: Column, learned: str = "assistant") -> Column:
+    """array<struct<start, length>> of the escaped bodies to learn, in code points of ``formatted``."""
+    return F.transform(_masked(formatted, learned), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
 
 
 def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, formatted, level, loss_spans, loss_text, turns): rendered conversations, the spans
-    to learn, and turns and learned text as read back from the rendering."""
+    to learn, and turns and learned text as read back from the rendering.
+
+    Null texts, roles and ids, ties and repeated rows are as in ``conversations``; other columns are
+    not read, whatever their names; an empty table gives no rows.
+    """
     made = render(conversations(rows, conv, turn, role, text))
-    spans = made.withColumn("loss_spans", loss_spans(F.col("formatted"))).withColumn("turns", parse(F.col("formatted")))
-    piece = lambda s: _unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int")))
-    return spans.withColumn("loss_text", F.array_join(F.transform("loss_spans", piece), ""))
+    masked = made.withColumn("masked", _masked(F.col("formatted"), "assistant")).withColumn("turns", parse(F.col("formatted")))
+    spans = F.transform("masked", lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
+    learned = F.array_join(F.transform("masked", lambda x: _unescape(x["body"])), "")
+    return masked.select("conv_id", "formatted", "level", spans.alias("loss_spans"), learned.alias("loss_text"), "turns")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -56,6 +58,20 @@ def test_loss_spans_are_bodies(spark):
     assert r["formatted"][start : start + length].startswith("<\\|im_end") and r["formatted"][start + length :].startswith(C.END)
 
 
+def test_very_many_turns(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"é turn {i} <|im_end|>") for i in range(20_000)]
+    began = time.monotonic()
+    r = done(spark, rows)[1]
+    assert [(t["role"], t["text"]) for t in r["turns"]] == [(a, b) for _, _, a, b in rows]
+    assert r["loss_text"] == "".join(b for _, _, a, b in rows if a == "assistant")
+    assert "".join(r["formatted"][s : s + n] for s, n in r["loss_spans"]) == "".join(C_escaped(b) for _, _, a, b in rows if a == "assistant")
+    assert time.monotonic() - began < 60
+
+
+def C_escaped(text):
+    return text.replace("<|", "<\\|")
+
+
 def test_not_a_conversation(spark):
     df = spark.createDataFrame([("x",), (C.START + "a",), (C.START + "a\nb" + C.END + C.END + "\n",), ("",)], "f string")
     assert [r[0] for r in df.select(C.parse(F.col("f"))).collect()] == [None, None, None, []]
