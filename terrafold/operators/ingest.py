@@ -36,16 +36,26 @@ def _matches_bad(bad: DataFrame) -> DataFrame:
     return bad.select(*[(T.blank(c) if c in bad.columns else F.lit("")).alias(f"bad_{c}") for c in BAD_KEY]).distinct().withColumn("is_bad", F.lit(True))
 
 
+#: Rows that a configured list may have: it is broadcast to every task.
+LISTED = 100_000
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    if rows.limit(LISTED + 1).count() > LISTED:
+        raise ValueError(f"a configured list has more than {LISTED} rows")
+    return F.broadcast(rows)
+
+
 def judged(rows: DataFrame, codes: DataFrame, bad: DataFrame | None = None) -> DataFrame:
     """Rows with county, district and reject_reason: the first of no_coordinate, empty_number,
     unknown_code and dirty that holds, or null for rows to keep.
 
-    ``codes`` (code, county, district) and ``bad`` are small configured lists.
+    ``codes`` (code, county, district) and ``bad`` are configured lists of at most ``LISTED`` rows.
     """
-    known = F.broadcast(codes.select(F.col("code").alias("district_code"), F.col("county"), F.col("district"), F.lit(True).alias("known")))
+    known = _listed(codes.select(F.col("code").alias("district_code"), F.col("county"), F.col("district"), F.lit(True).alias("known")))
     out = rows.join(known, "district_code", "left")
     if bad is not None:
-        listed = F.broadcast(_matches_bad(bad))
+        listed = _listed(_matches_bad(bad))
         same = None
         for c in BAD_KEY:
             test = F.col(c) == F.col(f"bad_{c}")
@@ -71,19 +81,32 @@ def reject_counts(rows: DataFrame) -> DataFrame:
 _RANGES, _SAMPLED = 256, 20_000
 
 
+#: Columns that say where a row is from: its file, and where in it its split begins.
+SOURCE = ("_file", "_split")
+
+
+def with_source(scan: DataFrame) -> DataFrame:
+    """A scan of files with the columns ``SOURCE``, which ``with_ids`` goes by (and drops)."""
+    return scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"))
+
+
 def with_ids(rows: DataFrame, name: str = "id") -> DataFrame:
-    """Rows numbered from 1 in the order of their source (file, then place in it).
+    """Rows numbered from 1 in the order of their source: file by path, then place in it.
 
-    Each partition is numbered by itself and gets the rows of those before it added, so no task sees
-    all rows. ``rows`` must be a scan with filters, projections and broadcast joins only: then
-    each of the passes has the same partitions. Others have ``numbered``.
+    A scan deals the splits of files to tasks by size, so the order comes from the columns
+    ``SOURCE``; rows without them are numbered by partition. Each split is numbered by itself and
+    gets the rows of those before it added, so no task sees all rows. ``rows`` must be a scan with
+    filters, projections and broadcast joins only: then each of the passes has the same partitions.
+    Others have ``numbered``.
     """
     marked = rows.withColumn("_m", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % (1 << 33))
-    sizes = marked.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_p", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = marked.join(F.broadcast(offsets), "_p")
-    return placed.withColumn(name, F.col("_before") + F.col("_i") - F.col("_first") + 1).drop("_m", "_p", "_i", "_before", "_first")
+    order = [c for c in SOURCE if c in rows.columns]
+    keys = ["_p", *order]
+    sizes = marked.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
+    before = Window.orderBy(*order, "_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = marked.join(offsets, keys)
+    return placed.withColumn(name, F.col("_before") + F.col("_i") - F.col("_first") + 1).drop("_m", "_i", "_before", "_first", *keys)
 
 
 def numbered(rows: DataFrame, key: str, *more: str, name: str = "id") -> DataFrame:
@@ -114,7 +137,7 @@ def places(rows: DataFrame, source: str = "tgos") -> DataFrame:
         F.lit(source).alias("source"), F.lit(None).cast("long").alias("osm_id"), "lat", "lon", "district_code", "county", F.col("district").alias("township"),
         *[T.none_if_blank(c).alias(c) for c in ("village", "neighbor", "street", "area", "lane", "alley")], "number",
         T.short_name("street", "area", "lane", "alley", "number").alias("name"),
-        T.display_name(*parts).alias("display_name"), T.display_name(*parts, half=True).alias("display_name_halfwidth"),
+        T.display_name(*parts).alias("display_name"), T.display_name(*parts, half=True).alias("display_name_halfwidth"), *[c for c in SOURCE if c in rows.columns],
     )
 
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from terrafold.functions import geo as G
 from terrafold.functions import text as T
 from terrafold.operators import spatial as S
-from terrafold.operators.search import tokens
+from terrafold.operators import search as X
 
 # Directions of the samples, and metres that a stored coordinate may be off.
 DIRECTIONS = ("north", "south", "east", "west")
 COORDINATE_TOLERANCE_M = 1.0
+# The fields by which a source row and a place are the same address.
 KEY = ("district_code", "village", "neighbor", "street", "area", "lane", "alley", "number")
 
 
@@ -52,13 +53,13 @@ def _folded(alias: str, c: str) -> Column:
     return F.coalesce(F.col(f"{alias}.{c}"), F.lit(""))
 
 
-def checks(samples: DataFrame, places: DataFrame, codes: DataFrame, areas: DataFrame | None = None, area_edges: DataFrame | None = None, rules: list[dict] | None = None) -> DataFrame:
+def checks(samples: DataFrame, places: DataFrame, codes: DataFrame, areas: DataFrame | None = None, area_edges: DataFrame | None = None, rules: list[dict] | None = None, index: DataFrame | None = None) -> DataFrame:
     """(sample_id, direction, check, ok, detail): a row per sample and check; ok is null for a
     failure that a boundary exception explains.
 
     coverage: the address is there; coord_match: within a metre (of rows with the same key the
-    closest); display_name: both forms are as composed; fts5_search: the half-width name is
-    found as a phrase; polygon_in, reverse_township and county_match: the areas that cover the
+    closest); display_name: both forms are as composed; fts5_search: the search ``index``
+    (``search.postings``; without one it is made of the places) has the half-width name as a phrase; polygon_in, reverse_township and county_match: the areas that cover the
     point are the expected ones (only with ``areas``).
     """
     s = samples.select(F.xxhash64("id", "direction").alias("k"), F.col("id").alias("sample_id"), "direction", "lat", "lon", *KEY).alias("s")
@@ -66,15 +67,13 @@ def checks(samples: DataFrame, places: DataFrame, codes: DataFrame, areas: DataF
     found = s.join(places.alias("p"), same, "left")
     found = found.withColumn("err", G.haversine_m("s.lat", "s.lon", "p.lat", "p.lon"))
     best = found.groupBy("s.k").agg(F.min_by(F.struct("p.id", "p.display_name", "p.display_name_halfwidth", "err"), F.struct(F.coalesce("err", F.lit(1e12)), "p.id")).alias("b"))
-    known = F.broadcast(codes.select(F.col("code").alias("district_code"), F.col("county").alias("want_county"), F.col("district").alias("want_town")))
+    known = codes.select(F.col("code").alias("district_code"), F.col("county").alias("want_county"), F.col("district").alias("want_town"))
     rows = s.join(best, "k").join(known, "district_code", "left")
     parts = (T.blank("want_county"), T.blank("want_town"), "village", "street", "area", "lane", "alley", "number")
     rows = rows.withColumn("want", T.display_name(*parts)).withColumn("want_half", T.display_name(*parts, half=True))
     there = F.col("b.id").isNotNull()
-    # A phrase that is a whole column is found in that column's own tokens.
-    phrase = F.array_join(tokens("want_half"), " ")
-    texts = places.select(F.array_join(tokens("display_name_halfwidth"), " ").alias("phrase")).distinct().withColumn("hit", F.lit(True))
-    rows = rows.withColumn("phrase", phrase).join(texts, "phrase", "left")
+    hits = X.phrases_found(X.postings(places) if index is None else index, rows, "k", "want_half")
+    rows = rows.join(hits.withColumn("hit", F.lit(True)), "k", "left")
     results = {
         "coverage": (there, F.lit("no row")),
         "coord_match": (there & (F.col("b.err") <= COORDINATE_TOLERANCE_M), F.concat(F.lit("err="), F.round("b.err", 2))),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.functions import text as T
@@ -13,7 +13,7 @@ from terrafold.functions import text as T
 INDEXED = ("name", "display_name", "display_name_halfwidth", "street", "area", "township")
 # Accented Latin letters and what they are folded to.
 _ACCENTED = "àáâãäåāăąçćčďèéêëēęěìíîïīłñńňòóôõöøōőŕřśšşťţùúûüūůűýÿžźż"
-_PLAIN = "aaaaaaaaacccdeeeeeeeiiiiilnnnoooooooorrssstt" + "uuuuuuuyyzzz"
+_PLAIN = "aaaaaaaaacccdeeeeeeeiiiiilnnnoooooooorrsssttuuuuuuuyyzzz"
 
 
 def tokens(x: str | Column) -> Column:
@@ -24,12 +24,9 @@ def tokens(x: str | Column) -> Column:
     return F.filter(F.split(folded, r"[^\p{L}\p{N}\p{Co}]+"), lambda t: t != "")
 
 
-def query_tokens(text: str) -> list[str]:
-    """The tokens of a query, by the rule of the index."""
-    import re
-
-    folded = text.lower().translate(str.maketrans(_ACCENTED, _PLAIN))
-    return re.findall(r"[^\W_]+", folded)
+def query_tokens(spark: SparkSession, text: str) -> list[str]:
+    """The tokens of a query: the index's own expression on one row."""
+    return list(spark.range(1).select(tokens(F.lit(text)).alias("t")).first()["t"])
 
 
 def postings(places: DataFrame, id_col: str = "id", columns: tuple[str, ...] = INDEXED) -> DataFrame:
@@ -41,7 +38,7 @@ def postings(places: DataFrame, id_col: str = "id", columns: tuple[str, ...] = I
 def phrase_ids(index: DataFrame, text: str) -> DataFrame:
     """Distinct ids with the query's tokens one after another in one column. A query without tokens
     finds nothing. One filtered scan and one aggregation, whatever the length."""
-    wanted = query_tokens(text)
+    wanted = query_tokens(index.sparkSession, text)
     if not wanted:
         return index.where("false").select("id").distinct()
     if len(wanted) == 1:
@@ -53,15 +50,23 @@ def phrase_ids(index: DataFrame, text: str) -> DataFrame:
     return runs.where(F.col("n") == len(wanted)).select("id").distinct()
 
 
+def phrases_found(index: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """The keys of ``wanted`` whose text the index has as a phrase: many queries in one join by token.
+    A text without tokens is not found."""
+    own = wanted.select(F.col(key).alias("key"), tokens(text).alias("w")).select("key", F.size("w").alias("n"), F.posexplode("w").alias("i", "token"))
+    met = own.join(index, "token").groupBy("key", "n", "id", "col", (F.col("pos") - F.col("i")).alias("start")).agg(F.count_distinct("i").alias("found"))
+    return met.where("found = n").select(F.col("key").alias(key)).distinct()
+
+
 def prefix_ids(index: DataFrame, prefix: str) -> DataFrame:
     """Distinct ids with a token that begins so."""
-    wanted = query_tokens(prefix)
+    wanted = query_tokens(index.sparkSession, prefix)
     return index.where(F.col("token").startswith(wanted[0]) if len(wanted) == 1 else F.lit(False)).select("id").distinct()
 
 
 def token_ids(index: DataFrame, token: str, columns: tuple[str, ...] = ("street", "area", "township")) -> DataFrame:
     """Distinct ids with exactly this token in one of the short columns."""
-    return index.where(F.col("col").isin(*columns) & (F.col("token") == "".join(query_tokens(token)))).select("id").distinct()
+    return index.where(F.col("col").isin(*columns) & (F.col("token") == "".join(query_tokens(index.sparkSession, token)))).select("id").distinct()
 
 
 def search(places: DataFrame, ids: DataFrame, limit: int | None = 50) -> DataFrame:

@@ -17,7 +17,7 @@ from terrafold.functions import geo as G
 AREA_CELL = 0.05
 #: Degrees of the search for lines, and of the steps of the search for points.
 ROAD_RADIUS, POINT_RADII = 0.01, (0.001, 0.005, 0.025)
-#: Metres up to which an address is shown itself.
+# Fixed value: metres up to which an address is shown itself.
 SHOW_WITHIN_M = 50.0
 
 
@@ -114,9 +114,15 @@ def nearest_line(points: DataFrame, edges: DataFrame, point_id: str = "id", line
 
 
 def snapped_area(points: DataFrame, edges: DataFrame, tolerance_m: float, point_id: str = "id", area_id: str = "area_id") -> DataFrame:
-    """(point_id, area_id, distance_m): the area whose boundary is nearest, within a tolerance."""
+    """(point_id, area_id, distance_m): the area whose boundary is nearest, within a tolerance.
+
+    Areas count whose box meets the window of the tolerance in degrees of latitude. Edges are looked
+    up twice as far, as degrees of longitude are shorter (up to 60 degrees from the equator).
+    """
     radius = tolerance_m / G.METRES_PER_DEGREE
-    near = _near_edges(points, edges, point_id, radius)
+    window = (F.col("lat") - radius, F.col("lat") + radius, F.col("lon") - radius, F.col("lon") + radius)
+    near = _near_edges(points, edges, point_id, 2 * radius).join(_boxes(edges, area_id), area_id)
+    near = near.where(G.boxes_overlap("min_lat", "max_lat", "min_lon", "max_lon", *window))
     qx, qy = G.nearest_on_segment("lon", "lat", "x1", "y1", "x2", "y2")
     each = near.withColumn("qx", qx).withColumn("qy", qy)
     planar = F.pow(F.col("lon") - F.col("qx"), 2) + F.pow(F.col("lat") - F.col("qy"), 2)
@@ -150,24 +156,43 @@ def nearest_point(queries: DataFrame, places: DataFrame, query_id: str = "id", p
     return out
 
 
+def county_of(points: DataFrame, areas: DataFrame, area_edges: DataFrame, point_id: str = "id") -> DataFrame:
+    """(point_id, county): the level-4 area that covers each point (the lowest id of several)."""
+    counties = areas.where("level = 4").select("area_id", "name")
+    hits = covering(points, area_edges.join(counties.select("area_id"), "area_id", "left_semi"), point_id).join(counties, "area_id")
+    return hits.groupBy(point_id).agg(F.min_by("name", "area_id").alias("county"))
+
+
+# The text after the name of a road.
+NEARBY = " 附近"
+
+
 def location_text(county: Column, town: Column, road: Column, address: Column, distance_m: Column) -> Column:
     """What is shown of a place: an address within reach, else the road (or the area) and 附近."""
-    near = F.concat(F.coalesce(county, F.lit("")), F.coalesce(town, F.lit("")), F.lit(" "), F.coalesce(road, F.lit("")), F.lit(" 附近"))
+    near = F.concat(F.coalesce(county, F.lit("")), F.coalesce(town, F.lit("")), F.lit(" "), F.coalesce(road, F.lit("")), F.lit(NEARBY))
     return F.when(distance_m < SHOW_WITHIN_M, address).otherwise(near)
 
 
 def reverse_geocode(points: DataFrame, areas: DataFrame, area_edges: DataFrame, roads: DataFrame, road_edges: DataFrame, places: DataFrame, snap_m: float = 0.0, with_addresses: bool = True) -> DataFrame:
     """For each point (id, lat, lon): area, nearest road, nearest address, and the text to show.
 
-    ``roads``: line_id, name, highway; ``places``: place_id, lat, lon, display_name.
+    ``roads``: line_id, name, highway; ``places``: place_id, lat, lon, display_name. A point in no
+    township takes the nearest one within ``snap_m`` (approx is then true); its county is the one
+    that covers it, else the township's.
     """
-    town = containing_area(points, areas, area_edges).withColumn("approx", F.lit(False))
+    town = containing_area(points, areas, area_edges).select("id", "county", F.col("name").alias("town"), F.lit(False).alias("approx"))
+    rest = points.join(town.select("id"), "id", "left_anti")
+    alone = rest.select("id").join(county_of(rest, areas, area_edges), "id", "left")
     if snap_m > 0:
-        rest = points.join(town.select("id"), "id", "left_anti")
-        near = snapped_area(rest, area_edges, snap_m).join(areas.where(F.col("level").isin(7, 8)), "area_id")
-        town = town.unionByName(near.select("id", "area_id", "level", "county", "name", F.lit(True).alias("approx")))
+        towns = areas.where(F.col("level").isin(7, 8)).select("area_id", F.col("county").alias("own"), "name")
+        near = snapped_area(rest, area_edges.join(towns.select("area_id"), "area_id", "left_semi"), snap_m).join(towns, "area_id")
+        alone = alone.join(near.select("id", "own", F.col("name").alias("town")), "id", "left")
+        alone = alone.select("id", F.coalesce("county", "own").alias("county"), "town", F.col("town").isNotNull().alias("approx"))
+        town = town.unionByName(alone)
+    else:
+        town = town.unionByName(alone.select("id", "county", F.lit(None).cast("string").alias("town"), F.lit(False).alias("approx")))
     road = nearest_line(points, road_edges).join(roads, "line_id").select("id", F.col("name").alias("road"), "highway", F.col("distance_m").alias("road_m"))
-    out = points.select("id", "lat", "lon").join(town.select("id", "county", F.col("name").alias("town"), "approx"), "id", "left").join(road, "id", "left")
+    out = points.select("id", "lat", "lon").join(town, "id", "left").join(road, "id", "left")
     if with_addresses:
         address = nearest_point(points, places).join(places.select("place_id", "display_name"), "place_id")
         out = out.join(address.select("id", F.col("display_name").alias("address"), F.col("distance_m").alias("address_m")), "id", "left")

@@ -43,9 +43,25 @@ def counties(parts: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("county_id", F.lit(name)) for name, df in parts.items()])
 
 
+#: Degrees of the cells by which stored places lie together.
+STORED_CELL = 0.02
+
+
+def clustered(places: DataFrame) -> DataFrame:
+    """Places near each other in the same files and row groups: ranges of source, county and cell, in
+    that order. What a row group says of its lat and lon then lets a search skip it."""
+    order = ["source", "county", G.cell("lat", STORED_CELL), G.cell("lon", STORED_CELL)]
+    return places.repartitionByRange(*order).sortWithinPartitions(*order, "id")
+
+
 def write_places(places: DataFrame, path: str) -> None:
-    """Places by source and county, so that a search of a county reads that county."""
-    places.repartition("source", "county", F.pmod(F.xxhash64("id"), F.lit(16))).write.mode("overwrite").partitionBy("source", "county").parquet(path)
+    """Places by source and county, so that a search of a county reads that county, and by cell."""
+    clustered(places).write.mode("overwrite").partitionBy("source", "county").parquet(path)
+
+
+def around(places: DataFrame, lat: float, lon: float, reach: float = S.POINT_RADII[-1]) -> DataFrame:
+    """The stored places in a window of degrees: a filter that the scan gets."""
+    return places.where(F.col("lat").between(lat - reach, lat + reach) & F.col("lon").between(lon - reach, lon + reach))
 
 
 def route(places: DataFrame, county_name: str | None, covered: tuple[str, ...]) -> DataFrame:

@@ -460,7 +460,11 @@ def nearest_line(spark, sf_dir):
     return S.nearest_line(addresses(spark, sf_dir), _shapes(spark)[3]).select("id", "line_id", F.round("distance_m", 3).alias("distance_m"))
 
 
-@query(f"WITH {{ADDR}}, {_SHAPES_SQL}, {_SEG.format(key='area_id', edges='edges')}, n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, area_id) AS r FROM metres WHERE m <= 900) SELECT id, area_id, round(m, 3) AS distance_m FROM n WHERE r = 1")
+_AREA_BOXES = "abox AS (SELECT area_id, min(least(y1, y2)) AS s, max(greatest(y1, y2)) AS n, min(least(x1, x2)) AS w, max(greatest(x1, x2)) AS e FROM {edges} GROUP BY area_id)"
+_SNAPPED = "snap AS (SELECT m.*, row_number() OVER (PARTITION BY id ORDER BY m, m.area_id) AS r FROM {metres} m JOIN abox b ON b.area_id = m.area_id AND b.n >= lat - {d} AND b.s <= lat + {d} AND b.e >= lon - {d} AND b.w <= lon + {d} WHERE m <= {tolerance})"
+
+
+@query(f"WITH {{ADDR}}, {_SHAPES_SQL}, {_SEG.format(key='area_id', edges='edges')}, {_AREA_BOXES.format(edges='edges')}, {_SNAPPED.format(metres='metres', d='(900.0 / 111000)', tolerance='900')} SELECT id, area_id, round(m, 3) AS distance_m FROM snap WHERE r = 1")
 def snap_nearest(spark, sf_dir):
     return S.snapped_area(addresses(spark, sf_dir), _shapes(spark)[1], 900.0).select("id", "area_id", F.round("distance_m", 3).alias("distance_m"))
 
@@ -484,18 +488,36 @@ def nearest_point(spark, sf_dir):
     return S.nearest_point(_points(spark, sf_dir), places).select("id", "place_id", F.round("distance_m", 3).alias("distance_m"))
 
 
-@query(
-    f"""WITH p0 AS ({_ADDR_SQL}), {_POINTS_SQL}, {_SHAPES_SQL}, addr AS (SELECT * FROM q), {_COVERS}, {_TOWN}, {_NEAR_ROAD}, {_NEAR_POINT.replace("addr a", "p0 a")}
-    SELECT q.id, t.county, t.name AS town, r.name AS road, round(n.m, 3) AS road_m, p0.number AS address, round(h.m, 3) AS address_m,
-      CASE WHEN h.m < 50 THEN p0.number ELSE concat(coalesce(t.county,''), coalesce(t.name,''), ' ', coalesce(r.name,''), ' 附近') END AS shown
-    FROM q LEFT JOIN town t ON t.id = q.id LEFT JOIN (SELECT * FROM nearest WHERE r = 1) n ON n.id = q.id LEFT JOIN roads r ON r.line_id = n.line_id
+_ANSWER = """SELECT q.id, coalesce(t.county, c.county{own}) AS county, {town} AS town, {approx}r.name AS road, round(n.m, 3) AS road_m, p0.number AS address, round(h.m, 3) AS address_m,
+      CASE WHEN h.m < 50 THEN p0.number ELSE concat(coalesce(t.county, c.county{own}, ''), coalesce({town}, ''), ' ', coalesce(r.name, ''), ' 附近') END AS shown
+    FROM q LEFT JOIN town t ON t.id = q.id LEFT JOIN (SELECT id, min(name) AS county FROM hits WHERE level = 4 GROUP BY id) c ON c.id = q.id
+    LEFT JOIN (SELECT * FROM nearest WHERE r = 1) n ON n.id = q.id LEFT JOIN roads r ON r.line_id = n.line_id
     LEFT JOIN (SELECT * FROM hit WHERE r = 1) h ON h.id = q.id LEFT JOIN p0 ON p0.id = h.place_id"""
-)
-def reverse_geocode(spark, sf_dir):
+_TIERS = f"""WITH p0 AS ({_ADDR_SQL}), {_POINTS_SQL}, {_SHAPES_SQL}, addr AS (SELECT * FROM q), {_COVERS}, {_TOWN}, {_NEAR_ROAD}, {_NEAR_POINT.replace("addr a", "p0 a")}"""
+_SNAP_M = 1500.0
+
+
+def _located(spark, sf_dir, snap_m):
     areas, edges, roads, road_edges = _shapes(spark)
     places = addresses(spark, sf_dir).select(F.col("id").alias("place_id"), "lat", "lon", F.col("number").alias("display_name"))
-    out = S.reverse_geocode(_points(spark, sf_dir), areas, edges, roads, road_edges, places)
-    return out.select("id", "county", "town", "road", F.round("road_m", 3).alias("road_m"), "address", F.round("address_m", 3).alias("address_m"), "shown")
+    out = S.reverse_geocode(_points(spark, sf_dir), areas, edges, roads, road_edges, places, snap_m)
+    return out.withColumn("road_m", F.round("road_m", 3)).withColumn("address_m", F.round("address_m", 3))
+
+
+@query(f"{_TIERS} {_ANSWER.format(own='', town='t.name', approx='')}")
+def reverse_geocode(spark, sf_dir):
+    return _located(spark, sf_dir, 0.0).select("id", "county", "town", "road", "road_m", "address", "address_m", "shown")
+
+
+@query(
+    f"""{_TIERS}, towns AS (SELECT * FROM edges WHERE area_id IN (SELECT area_id FROM areas WHERE level IN (7, 8))), {_AREA_BOXES.format(edges="towns")},
+    {_SEG.replace("seg AS", "aseg AS").replace("FROM seg", "FROM aseg").replace("planar AS", "aplanar AS").replace("FROM planar", "FROM aplanar").replace("metres AS", "ametres AS").format(key="area_id", edges="towns")},
+    {_SNAPPED.format(metres="ametres", d=f"({_SNAP_M} / 111000)", tolerance=_SNAP_M)}, z AS (SELECT s.id, a.name, a.county FROM snap s JOIN areas a ON a.area_id = s.area_id WHERE s.r = 1 AND s.id NOT IN (SELECT id FROM town))
+    """
+    + _ANSWER.format(own=", z.county", town="coalesce(t.name, z.name)", approx="z.name IS NOT NULL AS approx, ") + " LEFT JOIN z ON z.id = q.id"
+)
+def reverse_geocode_snapped(spark, sf_dir):
+    return _located(spark, sf_dir, _SNAP_M).select("id", "county", "town", "approx", "road", "road_m", "address", "address_m", "shown")
 
 
 # --- search -----------------------------------------------------------------------------------
@@ -596,6 +618,30 @@ def verify_checks(spark, sf_dir):
     return Q.checks(Q.extreme_samples(rows), stored, codes).select("sample_id", "direction", "check", "ok")
 
 
+@query(
+    f"""WITH p0 AS ({_ADDR_SQL}), addr0 AS (SELECT * FROM p0), {_NAMED_SQL.replace("FROM addr", "FROM addr0")}, {_CHECKS_SQL.replace("FROM addr", "FROM addr0")}, {_SHAPES_SQL}, addr AS (SELECT DISTINCT id, lat, lon FROM s), {_COVERS}, {_TOWN},
+    w AS (SELECT b.sample_id, b.direction, b.village, b.found IS NOT NULL AS there, CASE b.village WHEN 'F' THEN '東縣' ELSE '西縣' END AS want_county, CASE b.village WHEN 'F' THEN '甲鄉' ELSE '丙鎮' END AS want_town FROM best b WHERE r = 1 AND village IN ('F', 'O')),
+    j AS (SELECT w.*, EXISTS (SELECT 1 FROM hits h WHERE h.id = w.sample_id AND h.level IN (7, 8) AND h.name = w.want_town) AS inside, t.name AS got_town, t.county AS got_county FROM w LEFT JOIN town t ON t.id = w.sample_id),
+    r AS (SELECT sample_id, direction, village, there, 'polygon_in' AS "check", there AND inside AS good FROM j UNION ALL SELECT sample_id, direction, village, there, 'reverse_township', there AND coalesce(got_town = want_town, false) FROM j
+      UNION ALL SELECT sample_id, direction, village, there, 'county_match', there AND coalesce(got_county = want_county, false) FROM j)
+    SELECT sample_id, direction, "check", CASE WHEN NOT good AND there AND village = 'O' THEN NULL ELSE good END AS ok FROM r"""
+)
+def verify_area_checks(spark, sf_dir):
+    none = F.lit(None).cast("string")
+    rows = named(spark, sf_dir).withColumn("district_code", F.col("village")).withColumn("neighbor", none).withColumn("lane", none).withColumn("alley", none)
+    stored = rows.where("id % 6 <> 0").withColumn("lat", F.when(F.col("id") % 5 == 0, F.col("lat") + 0.00002).otherwise(F.col("lat")))
+    codes = spark.createDataFrame([("F", "東縣", "甲鄉"), ("O", "西縣", "丙鎮")], "code string, county string, district string")
+    areas, edges, _, _ = _shapes(spark)
+    samples = Q.extreme_samples(rows).where(F.col("village").isin("F", "O"))
+    found = Q.checks(samples, stored, codes, areas, edges, [{"reason": "known", "match": {"village": "O"}}])
+    return found.where(F.col("check").isin("polygon_in", "reverse_township", "county_match")).select("sample_id", "direction", "check", "ok")
+
+
+@query("SELECT o_orderkey AS k, row_number() OVER () AS id FROM orders")
+def source_row_ids(spark, sf_dir):
+    return I.with_ids(I.with_source(table(spark, sf_dir, "orders")).select("o_orderkey", *I.SOURCE)).select(F.col("o_orderkey").alias("k"), "id")
+
+
 @query(f"WITH {{ADDR}}, {_SHAPES_SQL}, {_COVERS}, {_TOWN} SELECT a.id, t.name AS found_township FROM addr a LEFT JOIN town t ON t.id = a.id WHERE t.name IS NULL OR t.name <> '甲鄉'")
 def outlier_scan(spark, sf_dir):
     areas, edges, _, _ = _shapes(spark)

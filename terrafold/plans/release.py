@@ -18,19 +18,26 @@ PLACES_VERSION = M.SCHEMA_VERSIONS["places"]
 
 
 def publish(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Writes beside the target, then swaps: readers see the old table or the new one, whole. The old
-    one stays as ``.bak`` until the next time. Works on any file system that Spark writes to."""
+    """Writes beside the target, then swaps: no reader sees a part of a table. The old one stays as
+    ``.bak`` until the next time. Between the two renames there is no target; if the second fails, or
+    a run before was stopped there, the old one is put back. Works on any file system that
+    Spark writes to."""
     spark = df.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     files = path(target).getFileSystem(conf)
     part, old = f"{target}.part", f"{target}.bak"
+    if not files.exists(path(target)) and files.exists(path(old)):
+        files.rename(path(old), path(target))
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(part)
     if files.exists(path(target)):
         files.delete(path(old), True)
-        files.rename(path(target), path(old))
+        if not files.rename(path(target), path(old)):
+            raise OSError(f"could not move {target} to {old}")
     if not files.rename(path(part), path(target)):
+        if files.exists(path(old)):
+            files.rename(path(old), path(target))
         raise OSError(f"could not move {part} to {target}")
 
 
@@ -62,12 +69,32 @@ def compare(old: DataFrame, new: DataFrame, index: DataFrame | None = None) -> t
     return figures, C.markdown(figures.first().asDict(), "Release comparison")
 
 
-def verify(source: DataFrame, places: DataFrame, codes: DataFrame, n: int = 50, areas: DataFrame | None = None, area_edges: DataFrame | None = None, rules: list[dict] | None = None) -> tuple[DataFrame, DataFrame]:
+def verify(source: DataFrame, places: DataFrame, codes: DataFrame, n: int = 50, areas: DataFrame | None = None, area_edges: DataFrame | None = None, rules: list[dict] | None = None, index: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(matrix, failures) of the checks on the ``n`` outermost rows in each direction."""
-    results = Q.checks(Q.extreme_samples(source, n), places, codes, areas, area_edges, rules)
+    results = Q.checks(Q.extreme_samples(source, n), places, codes, areas, area_edges, rules, index)
     return Q.matrix(results), Q.failures(results)
 
 
+def pack(tables: list[Path], target: Path, data_version: str, policy_version: str) -> Path:
+    """A kit of the Parquet files of tables (or of single files), its version in a sidecar, and its
+    manifest beside it."""
+    M.check_version(data_version, policy_version)
+    files = [f for t in tables for f in (sorted(t.rglob("*.parquet")) if t.is_dir() else [t])]
+    kit = M.write_kit(files, {"VERSION": data_version}, target)
+    header = {"data_version": data_version, "address_policy_version": policy_version, "built": M.now_utc()}
+    out = target.with_name(f"{target.name}.manifest")
+    out.write_text(M.manifest(kit, files, {}, header), encoding="utf-8")
+    return out
+
+
+def stale_anchors(spark: SparkSession, path: str, pattern: str, wanted: str) -> list[str]:
+    """The static half of the schema gate: what text files say, by a pattern's group, that isn't
+    ``wanted``; a file without a match is wrong too."""
+    found = M.text_anchors(spark, path, pattern).collect()
+    wrong = [f"{r['name']}: {r['found']}, not {wanted}" for r in found if r["found"] != wanted]
+    return wrong if found else [f"{path}: nothing matches {pattern}"]
+
+
 def preflight(spark: SparkSession, meta: DataFrame, present: list[str], data_version: str, policy_version: str, kits: dict[Path, str] | None = None) -> list[str]:
     """All that keeps a release from going out: bad versions, missing artifacts, other versions in
     metadata, and kits that their manifests don't describe."""

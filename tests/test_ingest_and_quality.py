@@ -56,6 +56,28 @@ def test_ids_follow_the_source(spark):
     assert [r["id"] for r in got] == list(range(1, 101)) and [r["n"] for r in got] == list(range(100))
 
 
+def test_ids_follow_files_and_places(spark, tmp_path):
+    for name, n in (("a", 5), ("b", 2000), ("c", 50)):
+        (tmp_path / f"{name}.csv").write_text("v,w\n" + "".join(f"{name}{i},1\n" for i in range(n)), encoding="utf-8")
+    df = D.read_mapped(spark, str(tmp_path), {"v": "v"})
+    got = [r["v"] for r in I.with_ids(df.where("v <> 'b7'")).orderBy("id").collect()]
+    assert got == [f"{name}{i}" for name, n in (("a", 5), ("b", 2000), ("c", 50)) for i in range(n) if (name, i) != ("b", 7)]
+    split = I.with_ids(D.read_mapped(spark, str(tmp_path), {"v": "v"}, multi_line=False))
+    assert split.count() == 2055 and set(split.columns) == {"v", "id"}
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b\n1,"x\ny"\n2,"say ""z"""\n', encoding="utf-8")
+    got = D.read_mapped(spark, str(tmp_path / "q.csv"), {"n": "a", "t": "b"})
+    assert [(r["n"], r["t"]) for r in I.with_ids(got).orderBy("id").collect()] == [("1", "x\ny"), ("2", 'say "z"')]
+
+
+def test_configured_lists_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(I, "LISTED", 2)
+    with pytest.raises(ValueError):
+        I.judged(spark.range(1), spark.createDataFrame([(str(i), "c", "d") for i in range(3)], "code string, county string, district string"))
+
+
 def test_numbers_by_key(spark):
     df = spark.createDataFrame([((i * 7919) % 1000 if i else None, i) for i in range(1000)], "k long, v long").repartition(7)
     got = I.numbered(df, "k", "v").orderBy("id").collect()

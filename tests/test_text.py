@@ -14,25 +14,25 @@ def one(spark, **columns):
 @pytest.mark.parametrize(
     ("number", "base"),
     [
-        ("３２號二樓", "３２號"), ("３２號三樓之１", "３２號"), ("３２號地下一層", "３２號"), ("３２之５號二樓", "３２之５號"), ("臨１１２之４號三樓", "臨１１２之４號"),
-        ("３２之５號", "３２之５號"), ("合作大樓１之１號", "合作大樓１之１號"), ("地下二層", "地下二層"), ("合作大樓１號二樓", "合作大樓１號二樓"), ("", ""), (None, None),
+        ("６號八樓", "６號"), ("７０號十樓之９", "７０號"), ("４號地下三層", "４號"), ("８之１號五樓", "８之１號"), ("臨２０之７號六樓", "臨２０之７號"),
+        ("９１之３號", "９１之３號"), ("新光大樓５之２號", "新光大樓５之２號"), ("地下三層", "地下三層"), ("新光大樓８號四樓", "新光大樓８號四樓"), ("", ""), (None, None),
     ],
 )
 def test_base_number(spark, number, base):
     assert one(spark, b=T.base_number(F.lit(number).cast("string")))["b"] == base
 
 
-@pytest.mark.parametrize(("full", "half", "hyphen"), [("２之３之２號", "2之3之2號", "2-3-2號"), ("臨１１２之４號", "臨112之4號", "臨112-4號"), ("３９巷", "39巷", "39巷"), ("Ａ１－．", "Ａ1-.", "Ａ1-."), ("", "", "")])
+@pytest.mark.parametrize(("full", "half", "hyphen"), [("６之７之８號", "6之7之8號", "6-7-8號"), ("臨９０之５號", "臨90之5號", "臨90-5號"), ("４１弄", "41弄", "41弄"), ("Ｂ７－．", "Ｂ7-.", "Ｂ7-."), ("", "", "")])
 def test_widths(spark, full, half, hyphen):
     assert one(spark, a=T.half_width(F.lit(full)), b=T.hyphen_number(F.lit(full))) == {"a": half, "b": hyphen}
 
 
 def test_display_names(spark):
-    parts = [F.lit(x) for x in ("台中市", "中區", "大誠里", "大誠街", None, "３９巷", None, "２之３之２號")]
+    parts = [F.lit(x) for x in ("甲縣", "乙鎮", "丙里", "丁街", None, "１６巷", None, "６之７之８號")]
     got = one(spark, full=T.display_name(*parts), half=T.display_name(*parts, half=True), short=T.short_name(*parts[3:]))
-    assert got == {"full": "台中市中區大誠里大誠街３９巷２之３之２號", "half": "台中市中區大誠里大誠街39巷2-3-2號", "short": "大誠街39巷2-3-2號"}
-    parts = [F.lit(x) for x in ("彰化縣", "鹿港鎮", "頂厝里", "", "頂厝段", None, None, "５號")]
-    assert one(spark, half=T.display_name(*parts, half=True))["half"] == "彰化縣鹿港鎮頂厝里頂厝段5號"
+    assert got == {"full": "甲縣乙鎮丙里丁街１６巷６之７之８號", "half": "甲縣乙鎮丙里丁街16巷6-7-8號", "short": "丁街16巷6-7-8號"}
+    parts = [F.lit(x) for x in ("甲縣", "戊鄉", "己村", "", "庚段", None, None, "９號")]
+    assert one(spark, half=T.display_name(*parts, half=True))["half"] == "甲縣戊鄉己村庚段9號"
 
 
 def test_strip_takes_ideographic_space(spark):
@@ -40,16 +40,16 @@ def test_strip_takes_ideographic_space(spark):
 
 
 def test_synthesised(spark):
-    parts = [F.lit(x) for x in ("台中市", "中區", "測試里", "測試路", None, None, None, "３２號")]
+    parts = [F.lit(x) for x in ("甲縣", "乙鎮", "丙里", "丁街", None, None, "４弄", "７之１號")]
     got = one(spark, s=T.synthesised(*parts))["s"].asDict()
-    assert got == {"number": "３２號", "name": "測試路32號", "display_name": "台中市中區測試里測試路３２號", "display_name_halfwidth": "台中市中區測試里測試路32號"}
+    assert got == {"number": "７之１號", "name": "丁街4弄7-1號", "display_name": "甲縣乙鎮丙里丁街４弄７之１號", "display_name_halfwidth": "甲縣乙鎮丙里丁街4弄7-1號"}
 
 
 def test_tags(spark):
     tags = lambda **k: F.create_map(*[F.lit(x) for p in k.items() for x in (p[0].replace("_", ":"), p[1])])
     assert one(spark, n=T.tag_name(tags(name_zh="", name="b")))["n"] == "b"
-    a = one(spark, a=T.map_address(tags(addr_city="臺中市", addr_suburb="西區", addr_street="路", addr_housenumber="１之２號")))["a"].asDict()
-    assert a["display_name"] == "台中市西區路１之２號" and a["display_name_halfwidth"] == "台中市西區路1-2號" and a["name"] == "路1-2號"
+    a = one(spark, a=T.map_address(tags(addr_city="臺東市", addr_suburb="北里", addr_street="海街", addr_housenumber="８之６號")))["a"].asDict()
+    assert a["display_name"] == "台東市北里海街８之６號" and a["display_name_halfwidth"] == "台東市北里海街8-6號" and a["name"] == "海街8-6號"
 
 
 def test_queries_are_plain():
