@@ -117,7 +117,7 @@ def test_stored_places_lie_by_cell(spark, tmp_path):
     df = spark.range(4000).selectExpr("id", "'tgos' as source", "'x' as county", "22 + (id * 37 % 997) / 500.0D as lat", "120 + (id * 91 % 1009) / 500.0D as lon")
     build.write_places(df, str(tmp_path / "p"))
     near = build.around(spark.read.parquet(str(tmp_path / "p")), 22.5, 120.5, 0.2)
-    assert near.count() == df.where("abs(lat - 22.5) <= 0.2 and abs(lon - 120.5) <= 0.2").count() > 0
+    assert near.count() == df.where(F.col("lat").between(22.5 - 0.2, 22.5 + 0.2) & F.col("lon").between(120.5 - 0.2, 120.5 + 0.2)).count() > 0
     assert "PushedFilters: [IsNotNull(lat)" in near._jdf.queryExecution().executedPlan().toString()
 
 
