@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.shared import Scratch, without
+from terrafold.llm.shared import Scratch, small, without
+from terrafold.runtime import ship_package
 
 BINS = 1 << 16
 #: Texts are scored together up to this many bytes; a longer one is scored in parts.
@@ -39,12 +40,14 @@ def _trigrams(data: bytes) -> np.ndarray:
 
 @dataclass
 class TextModel:
-    """log P(trigram | language) for each bin; languages in order. Size: 256 kB for each language."""
+    """log P(trigram | language) for each fold, language and bin; languages in order. Size: 512 kB for
+    each language. A fold's table has seen no text of that fold (``fold_of``), so that no label is
+    evidence for itself."""
 
     languages: list[str]
     table: np.ndarray
 
-    def scores(self, text: str | None) -> tuple[np.ndarray, int]:
+    def scores(self, text: str | None, fold: int = 0) -> tuple[np.ndarray, int]:
         """Sum of log-likelihoods by language over the whole text, and how many trigrams it has."""
         data = f" {text or ''} ".encode("utf-8", "surrogatepass")
         total, n = np.zeros(len(self.languages)), 0
@@ -52,40 +55,53 @@ class TextModel:
             bins = _trigrams(data[at : at + _CHUNK + 2])
             n += len(bins)
             for k in range(len(self.languages)):
-                total[k] += self.table[k][bins].sum(dtype=np.float64)
+                total[k] += self.table[fold][k][bins].sum(dtype=np.float64)
         return total, n
 
 
-def train(labelled: DataFrame, label: str = "lang", text: str = "text", per_language: int = 500, most_languages: int = 64) -> TextModel:
-    """Fits the text model on about ``per_language`` texts of each label, chosen by hash of the text.
+FOLDS = 2
+
+
+def fold_of(text: str | Column) -> Column:
+    return F.pmod(F.shiftright(F.xxhash64(text), 40), F.lit(FOLDS)).cast("int")
+
+
+def train(labelled: DataFrame, label: str = "lang", text: str = "text", per_language: int = 500, most_languages: int = 256) -> TextModel:
+    """Fits the text model on about ``per_language`` different texts of each label, chosen by hash.
 
     The sample is bounded by ``per_language * most_languages`` texts, whatever the size of the
-    table; labels beyond the ``most_languages`` most frequent aren't languages of the model. Rows
-    without label or text don't count; without any, the model has no languages.
+    table and however often a text is repeated; labels beyond the ``most_languages`` most frequent
+    aren't languages of the model. Rows without label or text don't count; without any, the model has
+    no languages.
     """
-    rows = labelled.select(F.col(label).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    ship_package(labelled.sparkSession)
+    rows = labelled.select(F.col(label).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null").withColumn("k", F.xxhash64("text"))
+    per_label = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("k").alias("texts"))
+    counts = per_label.orderBy(F.desc("n"), "lang").limit(most_languages).collect()
     if not counts:
-        return TextModel([], np.zeros((0, BINS), np.float32))
-    share = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, float(min(1.0, per_language / n)))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
+        return TextModel([], np.zeros((FOLDS, 0, BINS), np.float32))
+    share = F.create_map(*[F.lit(x) for lang, _, n in counts for x in (lang, float(min(1.0, per_language / max(n, 1))))])
+    drawn = F.pmod("k", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
-            for lang, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for lang, fold, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 bins = _trigrams(f" {value.as_py()} ".encode("utf-8", "surrogatepass"))
-                own = sums.setdefault(lang, np.zeros(BINS, np.int64))
+                own = sums.setdefault((lang, fold), np.zeros(BINS, np.int64))
                 own += np.bincount(bins, minlength=BINS)
         names = list(sums)
-        yield pa.record_batch([pa.array(names, pa.string()), pa.array([sums[x].astype("<i8").tobytes() for x in names], pa.binary())], names=["lang", "counts"])
+        columns = [pa.array([x[0] for x in names], pa.string()), pa.array([x[1] for x in names], pa.int32()), pa.array([sums[x].astype("<i8").tobytes() for x in names], pa.binary())]
+        yield pa.record_batch(columns, names=["lang", "fold", "counts"])
 
-    parts = rows.where(drawn).repartition(8, "lang").mapInArrow(count, "lang string, counts binary").collect()
-    languages = sorted(lang for lang, _ in counts)
-    table = np.full((len(languages), BINS), 0.5)
-    for lang, data in parts:
-        table[languages.index(lang)] += np.frombuffer(bytes(data), "<i8")
-    return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
+    sample = rows.where(drawn).dropDuplicates(["lang", "k"]).select("lang", fold_of("text").alias("fold"), "text")
+    parts = sample.repartition(8, "lang").mapInArrow(count, "lang string, fold int, counts binary").collect()
+    languages = sorted(lang for lang, _, _ in counts)
+    table = np.full((FOLDS, len(languages), BINS), 0.5)
+    for lang, fold, data in parts:
+        others = [f for f in range(FOLDS) if f != fold]
+        table[others, languages.index(lang)] += np.frombuffer(bytes(data), "<i8")
+    return TextModel(languages, np.log(table / table.sum(axis=2, keepdims=True)).astype(np.float32))
 
 
 def text_evidence(docs: DataFrame, model: TextModel, text: str = "text") -> DataFrame:
@@ -98,15 +114,15 @@ def text_evidence(docs: DataFrame, model: TextModel, text: str = "text") -> Data
         of = shared.value
         for batch in batches:
             lls, ns = [], []
-            for value in batch.column(len(rest)):
-                ll, n = of.scores(value.as_py())
+            for fold, value in zip(batch.column(len(rest)).to_pylist(), batch.column(len(rest) + 1), strict=True):
+                ll, n = of.scores(value.as_py(), fold)
                 lls.append(ll.tolist())
                 ns.append(n)
             arrays = [batch.column(i) for i in range(len(rest))] + [pa.array(lls, pa.list_(pa.float64())), pa.array(ns, pa.int64())]
             yield pa.record_batch(arrays, names=[*rest, "ll", "trigrams"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    return docs.select(*rest, text).mapInArrow(run, f"{schema}, ll array<double>, trigrams long")
+    return docs.select(*rest, F.coalesce(fold_of(text), F.lit(0)).alias("_fold"), text).mapInArrow(run, f"{schema}, ll array<double>, trigrams long")
 
 
 def host_of(url: Column) -> Column:
@@ -143,7 +159,8 @@ def _likelihoods(rows: DataFrame, key: str, whole: list[float], name: str) -> Da
 
 
 def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: str | None = "lang", host: str | None = "source", suffix: str | None = None) -> DataFrame:
-    """All columns of ``docs`` but the text, and lang, probability, text_lang, accepted.
+    """All columns of ``docs`` but the text, and lang, probability, text_lang, accepted (columns of
+    these names are replaced; others keep theirs, whatever they are).
 
     Posterior = text likelihood (tempered) x P(declared | language) x P(suffix | language) x host
     prior. The last three are counted over all rows by grouped aggregation, rows standing for the
@@ -151,7 +168,9 @@ def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: st
     distribution, that with all rows'. Missing evidence (null or empty) says nothing. A row is
     accepted unless it has no letter, its text is unlike every language, or no language has half
     of the posterior; then lang is null. Repeated rows are rows like others. With an empty model
-    lang is null and every row with a letter is accepted.
+    lang is null and every row with a letter is accepted. Of languages that are equally likely the
+    first by name is taken. Null texts have no letter; null ids are ids like others; no rows
+    give no rows.
     """
     k = len(model.languages)
     clean = lambda c: F.nullif(F.lower(F.trim(F.col(c).cast("string"))), F.lit("")) if c else F.lit(None).cast("string")
@@ -165,7 +184,8 @@ def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: st
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
         F.col(text).alias("text"),
     )
-    rows = Scratch(docs.sparkSession, "language").write(text_evidence(facts, model))
+    scratch = Scratch(docs.sparkSession, "language")
+    rows = scratch.write(text_evidence(facts, model))
     own = [F.col(f"row.{c}").alias(c) for c in kept]
     if not k:
         none = F.lit(None).cast("string")
@@ -182,6 +202,8 @@ def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: st
     p_suffix = _sums(heard, ["suffix"], k).select("suffix", mix("n", overall).alias("p"))
     hosts = _sums(heard.where("host is not null"), ["host", "suffix"], k)
     prior = hosts.join(p_suffix, "suffix").select("host", "suffix", F.transform(mix("n", "p"), lambda p: F.log(p)).alias("prior"))
+    # Written and counted, so that a host with a third of all rows stays where its rows lie.
+    mark, prior, end = (small(scratch.write(t), key) for t, key in ((mark, "declared"), (prior, "host"), (end, "suffix")))
     flat, base = F.array(*[F.lit(0.0)] * k), F.transform(overall, lambda p: F.log(p))
     fused = rows.join(mark, "declared", "left").join(prior, ["host", "suffix"], "left").join(end, "suffix", "left")
     terms = F.arrays_zip(F.col("ll").alias("a"), F.coalesce("mark", flat).alias("b"), F.coalesce("end", flat).alias("c"), F.coalesce("prior", base).alias("d"))
@@ -195,7 +217,8 @@ def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: st
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose language is not accepted; the declared label stays as it is."""
-    keyed = docs.select("doc_id", "lang", "source", "text", F.xxhash64("text").alias("h"))
-    found = identify(keyed, train(docs))
-    return without(docs, found.where("not accepted").select("doc_id", "h"))
+    """``docs`` without those whose language is not accepted; the declared label stays as it is. Rows
+    are told apart by doc_id, text, declared language and source; null ids are told apart by the rest."""
+    keyed = docs.select("doc_id", "lang", "source", "text", F.xxhash64("text", "lang", "source").alias("h"))
+    found = identify(keyed.withColumn("declared", F.col("lang")), train(docs), declared="declared")
+    return without(docs, found.where("not accepted").select("doc_id", "h"), ("text", "lang", "source"))

@@ -37,6 +37,16 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, declared="declared", host="source")
 
 
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5 where all its evidence is: markup, address suffix and host of ``pages``, with the text model of
+    ``documents``."""
+    model = language.train(_table(spark, sf_dir, "documents"))
+    pages = _table(spark, sf_dir, "pages")
+    text = F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
+    facts = pages.select("page_id", language.declared_in(F.col("html")).alias("declared"), language.host_of(F.col("url")).alias("host"), language.suffix_of(F.col("url")).alias("suffix"), text.alias("text"))
+    return language.identify(facts, model, declared="declared", host="host", suffix="suffix")
+
+
 def op6_audio_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables have no recordings: each vector of ``embeddings`` is played as one."""
     rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("media"))
@@ -97,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
+        "language_of_pages": language_of_pages,
         "op6_audio_fingerprint": op6_audio_fingerprint,
         "op7_pii": op7_pii,
         "op8_html_extract": op8_html_extract,

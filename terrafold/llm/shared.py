@@ -68,8 +68,8 @@ def small(table: DataFrame, strings: str | None = None) -> DataFrame:
     return F.broadcast(table) if rows <= _FEW and length <= _FEW_BYTES else table.hint("merge")
 
 
-def without(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose doc_id and text hash (xxhash64) are in ``bad`` (doc_id, h).
+def without(docs: DataFrame, bad: DataFrame, hashed: tuple[str, ...] = ("text",)) -> DataFrame:
+    """``docs`` without the rows whose doc_id and hash (xxhash64 of ``hashed``) are in ``bad`` (doc_id, h).
 
     The keys are written and counted: few of them are broadcast, so that texts stay where they
     are; more go through a hashed join by key.
@@ -77,7 +77,7 @@ def without(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:
     keys = Scratch(docs.sparkSession, "dropped").write(bad.select("doc_id", "h").distinct())
     side = keys.alias("bad")
     side = F.broadcast(side) if keys.count() <= _FEW else side.hint("shuffle_hash")
-    same = F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id")) & F.xxhash64(f"docs.{text}").eqNullSafe(F.col("bad.h"))
+    same = F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id")) & F.xxhash64(*[f"docs.{c}" for c in hashed]).eqNullSafe(F.col("bad.h"))
     return docs.alias("docs").join(side, same, "left_anti")
 
 

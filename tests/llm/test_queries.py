@@ -12,6 +12,7 @@ from terrafold.llm import queries as Q
 SCHEMAS = {
     "op1_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256", "op2_token_counts": "doc_id file ordinal start n_tokens", "op3_simhash": "doc_id fingerprint component_id",
     "op4_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset", "op5_language_id": "doc_id declared source lang probability text_lang accepted",
+    "language_of_pages": "page_id declared host suffix lang probability text_lang accepted",
     "op6_audio_fingerprint": "vec_id class_id group_id is_query n_links best_class best_offset best_errors", "op7_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op8_html_extract": "page_id url text n_chars", "op9_decontaminate": "doc_id n_words n_hit n_items items_sha256 contaminated n_near near_sha256",
     "op10_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
@@ -22,7 +23,7 @@ SCHEMAS = {
 def test_columns_and_rows(spark, sf_dir, name):
     df = Q.queries()[name](spark, sf_dir)
     assert df.columns == SCHEMAS[name].split()
-    table = {"op6": "embeddings", "op8": "pages", "op10": "conversations"}.get(name.split("_")[0], "documents")
+    table = {"op6": "embeddings", "op8": "pages", "op10": "conversations", "language": "pages"}.get(name.split("_")[0], "documents")
     n = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
     assert df.count() >= n if name.startswith("op4") else df.count() == n or name.startswith("op10")
 
