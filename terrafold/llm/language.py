@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.shared import Scratch, small, without
+from terrafold.llm.shared import Scratch, slices, small, without
 from terrafold.runtime import ship_package
 
 BINS = 1 << 16
@@ -112,7 +112,7 @@ def text_evidence(docs: DataFrame, model: TextModel, text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             lls, ns = [], []
             for fold, value in zip(batch.column(len(rest)).to_pylist(), batch.column(len(rest) + 1), strict=True):
                 ll, n = of.scores(value.as_py(), fold)

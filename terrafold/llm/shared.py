@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.runtime import ship_package
 
 _CHECKPOINT = "spark.checkpoint.dir"
+#: What a task hands to Python at once: both sides hold it, so the session's bound is lowered to this.
+_BATCH, _MOST_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` as the session has it; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir`` as the session has it. Where it is unset, a temporary folder on a single
+    machine; on a cluster that is an error, as no other machine would see the folder."""
     found = spark.conf.get(_CHECKPOINT, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_CHECKPOINT} must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="terrafold-")
         spark.conf.set(_CHECKPOINT, found)
     return found.rstrip("/")
@@ -32,6 +38,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         ship_package(spark)
+        bytes_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        if bytes_of(spark.conf.get(_BATCH)) > _MOST_BYTES:
+            spark.conf.set(_BATCH, str(_MOST_BYTES))
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
@@ -52,6 +61,13 @@ class Scratch:
         path.getFileSystem(conf).delete(path, True)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts, for work that makes much of each row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -65,7 +65,6 @@ def test_fusion_against_a_plain_version_and_where_it_decides(spark, halves):
     langs = sorted(texts)
     rows_ = [(i, texts[lang][10 * j : 10 * j + 120], lang, f"h{i % 3}.{lang}", lang) for i, (lang, j) in enumerate((x, j) for x in langs for j in range(8))]
     short = "st"
-    short = "st"
     rows_ += [(900 + i, short, lang, f"h{i % 3}.{lang}", lang) for i, lang in enumerate(langs)] + [(990, short, None, None, "")]
     df = spark.createDataFrame(rows_, "id long, text string, declared string, host string, suffix string")
     folds = {r["id"]: r["f"] for r in df.select("id", L.fold_of("text").alias("f")).collect()}
