@@ -73,7 +73,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 #: Keys that may be broadcast, and the bytes of their strings.
-_FEW, _FEW_BYTES = 200_000, 16 << 20
+_FEW, _FEW_BYTES = 500_000, 16 << 20
 
 
 def small(table: DataFrame, strings: str | None = None) -> DataFrame:
