@@ -290,34 +290,54 @@ def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return pairs
 
 
-def compare(first: Node, page: Node) -> dict[int, tuple[int, int]] | None:
-    """For the nodes of ``first`` with text, by number: whether the page's aligned node has the same
-    text, and how long its text is if not (links don't count). None for a copy of ``first``, which says nothing."""
-    number = {id(x): i for i, x in enumerate(in_order(first))}
-    out, same, held = {}, 0, sum(bool(x.texts()) for x in in_order(first))
-    for x, y in match(first, page):
-        if x.texts() and x.texts() == y.texts():
-            out[number[id(x)]] = (1, 0)
+@dataclass
+class Numbered:
+    """A layout's page, its nodes by number, and how many of them have text."""
+
+    root: Node
+    order: list[Node]
+    number: dict[int, int]
+    held: int
+
+    @classmethod
+    def of(cls, page: str) -> Numbered:
+        root = parse(page)
+        order = in_order(root)
+        return cls(root, order, {id(x): i for i, x in enumerate(order)}, sum(bool(x.texts()) for x in order))
+
+
+def compare(first: Numbered, page: Node) -> dict[int, tuple[int, int]] | None:
+    """For the nodes of ``first``, by number: whether the page's aligned node has the same text, and how
+    long its text is if not (links don't count). None for a copy of ``first``, which says nothing."""
+    out, same = {}, 0
+    for x, y in match(first.root, page):
+        theirs = y.texts()
+        if not theirs:
+            continue
+        if x.texts() == theirs:
+            out[first.number[id(x)]] = (1, 0)
             same += 1
-        elif y.texts():
-            out[number[id(x)]] = (0, max(0, sum(map(len, y.texts())) - y.links))
-    return None if same == held else out
+        else:
+            out[first.number[id(x)]] = (0, max(0, sum(map(len, theirs)) - y.links))
+    return None if same == first.held else out
 
 
 @dataclass
 class Wrapper:
-    """A layout's page, its constant nodes, and the node of the region that holds the varying text."""
+    """A layout's page, its constant nodes with their texts, and the node of the region that holds the
+    varying text."""
 
-    first: Node
+    first: Numbered
     constant: set[int]
+    texts: set[tuple[str, ...]]
     region: int | None
 
     @classmethod
     def of(cls, page: str, pages: int, nodes: list[int], same: list[int], varying: list[int]) -> Wrapper:
         """From how often each node of the layout's ``page`` is the same on ``pages`` others, and how much
         its text varies on them."""
-        first = parse(page)
-        order = in_order(first)
+        numbered = Numbered.of(page)
+        first, order = numbered.root, numbered.order
         constant = {n for n, k in zip(nodes, same, strict=True) if k >= _LEAST_PAGES and k >= _SHARE * pages}
         below: dict[int, int] = defaultdict(int)
         by_node = dict(zip(nodes, varying, strict=True))
@@ -326,16 +346,14 @@ class Wrapper:
         node, total = first, below[id(first)]
         while total and (inner := [x for x in node.nodes() if x.nodes() and below[id(x)] >= _REGION * total]):
             node = inner[0]
-        number = {id(x): i for i, x in enumerate(order)}
-        return cls(first, constant, number[id(node)] if total and node is not first else None)
+        texts = {tuple(order[i].texts()) for i in constant}
+        return cls(numbered, constant, texts, numbered.number[id(node)] if total and node is not first else None)
 
     def applied(self, root: Node) -> tuple[set[int], Node | None]:
         """The template nodes of a page (by id), and its node of the region."""
-        order = in_order(self.first)
-        number = {id(x): i for i, x in enumerate(order)}
         template, region = set(), None
-        for x, y in match(self.first, root):
-            i = number[id(x)]
+        for x, y in match(self.first.root, root):
+            i = self.first.number[id(x)]
             if i in self.constant and x.texts() == y.texts():
                 template.add(id(y))
             if i == self.region:
@@ -347,7 +365,8 @@ def induce(pages: list[str]) -> Wrapper | None:
     """The wrapper of some pages of one layout; None for too few, or where they are copies of one."""
     if len(pages) < _LEAST_PAGES:
         return None
-    found = [x for x in (compare(parse(pages[0]), parse(p)) for p in pages[1:]) if x is not None]
+    first = Numbered.of(pages[0])
+    found = [x for x in (compare(first, parse(p)) for p in pages[1:]) if x is not None]
     if not found:
         return None
     nodes = sorted({n for x in found for n in x})
@@ -387,10 +406,14 @@ def extract(page: str | None, wrapper: Wrapper | None = None) -> str:
     beside the text; a page with neither is taken whole, less lists of links.
     """
     root = parse(page)
-    template, region = wrapper.applied(root) if wrapper else (set(), None)
     found = _mains(root)
     articles = [x for x in found if x[1].tag == "article" or x[1].role == "article" or "articlebody" in x[1].names.lower().split()]
-    top = max(articles or found, key=lambda x: x[0], default=(0, region))[1]
+    top = max(articles or found, key=lambda x: x[0], default=(0, None))[1]
+    template: set[int] = set()
+    # Trees are aligned unless nothing in the element has the text of a constant node: then none of it is template.
+    if wrapper and (top is None or any(tuple(x.texts()) in wrapper.texts for x in in_order(top) if x.items)):
+        template, region = wrapper.applied(root)
+        top = top or region
     inside = top is not None
     blocks: list[str] = []
     todo: list = [top or root]
@@ -433,7 +456,7 @@ def wrappers(pages: DataFrame, scratch: Scratch, url: str = "url", html: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple, list[int]] = {}
-        trees: dict[str, Node] = {}
+        trees: dict[str, Numbered] = {}
 
         def told() -> pa.RecordBatch:
             keys = list(found)
@@ -447,7 +470,7 @@ def wrappers(pages: DataFrame, scratch: Scratch, url: str = "url", html: str = "
                 if text not in trees:
                     if len(trees) > 1000:
                         trees.clear()
-                    trees[text] = parse(text)
+                    trees[text] = Numbered.of(text)
                 counts = compare(trees[text], parse(page.as_py()))
                 if counts is not None:
                     host, layout = host.as_py(), layout.as_py()
