@@ -117,24 +117,64 @@ def test_token_counts(spark, plain):
     assert K.count_documents(empty(spark)).count() == 0
 
 
+def documents(k, ids, end):
+    """(file, ordinal, start, tokens, ended) of the documents in a file of ids."""
+    ends = [-1, *np.flatnonzero(ids == end).tolist()]
+    own = [(k, i, a + 1, b - a - 1, True) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
+    return own + [(k, len(own), ends[-1] + 1, len(ids) - ends[-1] - 1, False)] * (ends[-1] < len(ids) - 1)
+
+
+def counted(found):
+    return sorted((int(r["file"].split("/")[-1].split(".")[0]), r["ordinal"], r["start"], r["n_tokens"], r["ended"]) for r in found.collect())
+
+
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
-def test_flat_files(spark, tmp_path, monkeypatch, block):
+def test_blocks(spark, monkeypatch, block):
     monkeypatch.setattr(K, "_GROUP", 4)
     rng = np.random.default_rng(block)
-    want = []
+    want, cut = [], []
     for k in range(3):
         ids = rng.integers(0, 6, 200).astype("<u2")
         if k == 1:
             ids[-1] = 5
         if k == 2:
             ids[ids == 5] = 4
+        want += documents(k, ids, 5)
+        cut += [(str(k), i, ids[at : at + block].tobytes()) for i, at in enumerate(range(0, len(ids), block))]
+    blocks = spark.createDataFrame(cut, "file string, block long, data binary").repartition(3)
+    assert counted(K.stitch(K.scan(blocks, end_id=5))) == sorted(want)
+
+
+@pytest.mark.parametrize(("width", "end", "high", "split"), [(2, 0x2021, 0x2323, "297"), (4, 0x20, 0x24, "500"), (2, 50256, 50258, "128m")])
+def test_flat_files(spark, tmp_path, monkeypatch, width, end, high, split):
+    monkeypatch.setattr(K, "_GROUP_BYTES", 128)
+    rng = np.random.default_rng(width + end)
+    kind = f"<u{width}"
+    want = []
+    for k in range(9):
+        ids = rng.integers(max(0, end - 3), high, 400 + k).astype(kind)
+        if k % 3 == 1:
+            ids[-1] = end
+        if k == 2:
+            ids[ids == end] = end + 1
+        if k == 4:  # ids whose bytes look like a separator across two ids
+            ids[:200] = int.from_bytes(end.to_bytes(width, "little")[::-1], "little")
+        if k >= 6:  # a mark of text files, which readers take off
+            ids[: 12 // width] = np.frombuffer((b"\xef\xbb\xbf" + bytes([33 + k] * 9)), kind)
+        if k >= 7:  # a last byte that is, or isn't, the end of a line
+            ids[-1] = int.from_bytes(bytes([32 + 2 * (k - 7)] * width), "little")
         ids.tofile(tmp_path / f"{k}.bin")
-        ends = [-1, *np.flatnonzero(ids == 5).tolist()]
-        own = [(k, i, a + 1, b - a - 1, True) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
-        if ends[-1] < len(ids) - 1:
-            own.append((k, len(own), ends[-1] + 1, len(ids) - ends[-1] - 1, False))
-        want += own
-    (tmp_path / "3.bin").write_bytes(b"")
-    found = K.stitch(K.scan(K.from_files(spark, str(tmp_path), block_ids=block), end_id=5))
-    got = sorted((int(r["file"].split("/")[-1][0]), r["ordinal"], r["start"], r["n_tokens"], r["ended"]) for r in found.collect())
-    assert got == sorted(want)
+        want += documents(k, ids, end)
+    (tmp_path / "9.bin").write_bytes(b"")
+    ids.tofile(tmp_path / "10.bin")
+    if width > 1:
+        with open(tmp_path / "10.bin", "ab") as f:
+            f.write(b"\x01")
+    want += documents(10, ids, end)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert counted(K.count_files(spark, str(tmp_path), end, width)) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
