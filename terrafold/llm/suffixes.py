@@ -7,7 +7,7 @@ same anchor are a *block*. Windows can only be equal if they have the same place
 anchors and the anchors' suffixes begin with the same bytes. The steps:
 
 1. Every block becomes a small row (the suffix's key, its leading four bytes and a hash of its
-   first 80; a hash of the block). Splitters drawn from a sample deal the rows by key to buckets.
+   first 80; a 128-bit digest of the block). Splitters drawn from a sample deal the rows by key to buckets.
    A bucket finds the blocks that occur again as they are, whose windows all repeat, and
    those that share a suffix's beginning but not all of the block.
 2. The bytes of the latter, and of one of each set of equal blocks beside them, are dealt by key
@@ -47,7 +47,7 @@ MOST_BLOCKS = 4096
 _FEW_BLOCKS = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_ANCHORS = "bucket int, key long, block long, id long, h long, at long"
+_ANCHORS = "bucket int, key long, block long, tail long, id long, h long, at long"
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -89,21 +89,20 @@ def _blocks(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, length: in
     return windows[first], windows[last], own[first]
 
 
-def _hashes(data: np.ndarray, a: np.ndarray, b: np.ndarray, p: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix key (leading bytes, then hash of what every such suffix shares) and block hash."""
+def _hashes(data: np.ndarray, a: np.ndarray, b: np.ndarray, p: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix key (leading bytes, then hash of what every such suffix shares) and the halves of the
+    block's digest, its anchor's place mixed into the first. Bytes are removed on the digest's word, so
+    it is a cryptographic one."""
     words = _words(data)
     shared = np.zeros(len(p), np.uint64)
     for j in range((length - _REACH) // 8):
         shared = _mix(shared, words[p + 8 * j])
     lead = words[p].byteswap() >> np.uint64(32)
     key = (lead << np.uint64(32)) | (shared >> np.uint64(32))
-    end = b + length
-    whole = _mix(np.full(len(p), 7, np.uint64), ((end - a) << 20 | (p - a)).astype(np.uint64))
-    full = (end - a) // 8
-    for j in range(int(full.max(initial=0))):
-        here = np.flatnonzero(full > j) if j >= length // 8 else slice(None)
-        whole[here] = _mix(whole[here], words[a[here] + 8 * j])
-    return key, _mix(whole, words[end - 8])
+    view, end = memoryview(data), b + length
+    digests = b"".join([hashlib.blake2b(view[x:y], digest_size=16).digest() for x, y in zip(a.tolist(), end.tolist(), strict=True)])
+    halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
+    return key, _mix(halves[:, 0].copy(), (p - a).astype(np.uint64)), halves[:, 1].copy()
 
 
 def _segments(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -138,15 +137,15 @@ def _column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _batch_blocks(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row, a, b, p, key, block): blocks of a batch of texts, places counted from the document."""
+    """(row, a, b, p, key, block, tail): blocks of a batch of texts, places counted from the document."""
     data, offsets = _column_bytes(column)
     for begin, end, rows, starts, counts in _segments(offsets, length):
         part = data[begin:end]
         a, b, p = _blocks(part, starts, counts, length)
-        key, block = _hashes(part, a, b, p, length)
+        key, block, tail = _hashes(part, a, b, p, length)
         row = rows[np.searchsorted(starts, a, "right") - 1]
         back = begin - offsets[row]
-        yield row, a + back, b + back, p + back, key, block
+        yield row, a + back, b + back, p + back, key, block, tail
 
 
 def _pack_at(a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -191,12 +190,12 @@ def _sample(docs: DataFrame, length: int, least: int) -> tuple[int, np.ndarray,
     return n, splitters, hot
 
 
-def _status(key: np.ndarray, block: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
+def _status(key: np.ndarray, block: np.ndarray, tail: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
     """For rows in ``order``: rows of the same block, whether it is the first of them, whether its
     suffix key has a block that occurs once beside others, and how many blocks the key has."""
-    k, h = key[order], block[order]
+    k, h, t = key[order], block[order], tail[order]
     new_key = np.concatenate([[True], k[1:] != k[:-1]])
-    new = new_key | np.concatenate([[True], h[1:] != h[:-1]])
+    new = new_key | np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])])
     group = np.cumsum(new) - 1
     same = np.bincount(group)[group]
     of_key = np.cumsum(new_key) - 1
@@ -205,7 +204,7 @@ def _status(key: np.ndarray, block: np.ndarray, order: np.ndarray) -> tuple[np.n
     return same, new, open_ & (blocks > 1), blocks
 
 
-_FOUND = "kind int, key long, block long, id long, h long, at long"
+_FOUND = "kind int, key long, block long, tail long, id long, h long, at long"
 #: Kinds of rows: all windows repeat; to be compared; of equal blocks, the one that others are
 #: compared to; key too frequent, to be counted across buckets. Too many blocks: kind + 10.
 _WHOLE, _OPEN, _MODEL, _SPREAD, _MANY = 0, 1, 2, 3, 10
@@ -215,30 +214,30 @@ def _bucketed(docs: DataFrame, length: int, splitters: np.ndarray, hot: np.ndarr
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hs = (np.asarray(batch.column(i)) for i in (0, 1))
-            for row, a, b, p, key, block in _batch_blocks(batch.column(2), length):
+            for row, a, b, p, key, block, tail in _batch_blocks(batch.column(2), length):
                 bucket = np.searchsorted(splitters, key, "right").astype(np.int32)
                 if len(hot):
                     spread = np.isin(key, hot)
                     bucket[spread] = ((block[spread] ^ (ids[row[spread]] + p[spread]).astype(np.uint64) * _M1) % np.uint64(n)).astype(np.int32)
-                columns = (bucket, key.view(np.int64), block.view(np.int64), ids[row], hs[row], _pack_at(a, b, p))
+                columns = (bucket, key.view(np.int64), block.view(np.int64), tail.view(np.int64), ids[row], hs[row], _pack_at(a, b, p))
                 yield pa.record_batch([pa.array(x) for x in columns], names=[x.split()[0] for x in _ANCHORS.split(", ")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        key, block, ids, hs, at = (np.concatenate([np.asarray(b.column(i)) for b in parts]) for i in range(1, 6))
+        key, block, tail, ids, hs, at = (np.concatenate([np.asarray(b.column(i)) for b in parts]) for i in range(1, 7))
         spread = np.isin(key.view(np.uint64), hot)
-        order = np.lexsort((block, key.view(np.uint64)))
+        order = np.lexsort((tail, block, key.view(np.uint64)))
         order = order[~spread[order]]
         picks = [(np.flatnonzero(spread), np.full(int(spread.sum()), _SPREAD))]
         if len(order):
-            same, new, open_, blocks = _status(key, block, order)
+            same, new, open_, blocks = _status(key, block, tail, order)
             many = np.where(blocks > MOST_BLOCKS, _MANY, 0)
             for take, kind in ((same > 1, 0 * many + _WHOLE), (open_ & (same == 1), many + _OPEN), (open_ & (same > 1) & new, many + _MODEL)):
                 picks.append((order[take], kind[take]))
         take, kind = (np.concatenate(x) for x in zip(*picks, strict=True))
-        columns = (kind.astype(np.int32), key[take], block[take], ids[take], hs[take], at[take])
+        columns = (kind.astype(np.int32), key[take], block[take], tail[take], ids[take], hs[take], at[take])
         yield pa.record_batch([pa.array(x) for x in columns], names=[x.split()[0] for x in _FOUND.split(", ")])
 
     dealt = docs.mapInArrow(anchors, _ANCHORS).repartitionById(n, "bucket")
@@ -251,11 +250,11 @@ def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
     There is one row per spread key (fewer than buckets), so those are broadcast; the blocks that
     occur again are counted, and broadcast if few, so that rows of one block stay where they are.
     """
-    same = scratch.write(rows.groupBy("key", "block").agg(F.count("*").alias("same"), F.min(F.struct("id", "h", "at")).alias("first")))
+    same = scratch.write(rows.groupBy("key", "block", "tail").agg(F.count("*").alias("same"), F.min(F.struct("id", "h", "at")).alias("first")))
     of_key = same.groupBy("key").agg(F.count("*").alias("blocks"), F.sum((F.col("same") == 1).cast("int")).alias("single"))
     again = same.where("same > 1")
     side = F.broadcast(again) if again.count() <= _FEW_BLOCKS else again
-    known = rows.join(F.broadcast(of_key), "key").join(side, ["key", "block"], "left")
+    known = rows.join(F.broadcast(of_key), "key").join(side, ["key", "block", "tail"], "left")
     open_ = (F.col("single") > 0) & (F.col("blocks") > 1)
     many = F.when(F.col("blocks") > MOST_BLOCKS, _MANY).otherwise(0)
     first = F.struct("id", "h", "at") == F.col("first")
@@ -264,7 +263,7 @@ def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
         F.when(open_ & F.col("same").isNull(), many + _OPEN),
         F.when(open_ & F.col("same").isNotNull() & first, many + _MODEL),
     )
-    return known.select(F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"), "key", "block", "id", "h", "at")
+    return known.select(F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind"), "key", "block", "tail", "id", "h", "at")
 
 
 def sort_equal(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:

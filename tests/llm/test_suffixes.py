@@ -63,13 +63,23 @@ def test_frequent_keys_are_counted_across_buckets(spark, crowded, monkeypatch, m
 def test_long_documents_are_cut_into_segments(spark, monkeypatch, crowded):
     monkeypatch.setattr(S, "_SEGMENT", 1500)
     parts = [(str(i), *x) for i, x in enumerate(S._batch_blocks(pa.array([(t or "").encode() for _, t in crowded], pa.binary()), 200))]
-    for _, row, a, b, p, _, _ in parts:
+    for _, row, a, b, p, *_ in parts:
         for r, x, y, z in zip(row.tolist(), a.tolist(), b.tolist(), p.tolist(), strict=True):
             assert 0 <= x <= y <= z <= x + 120 and y + 200 <= len((crowded[r][1] or "").encode())
     windows = sum(int((b - a + 1).sum()) for _, _, a, b, *_ in parts)
     assert windows == sum(max(0, len((t or "").encode()) - 199) for _, t in crowded)
 
 
+def test_blocks_are_equal_by_bytes_and_place():
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 2000).astype(np.uint8)
+    data[1000:1400] = data[:400]
+    a, b, p = np.array([0, 0, 1000, 1]), np.array([50, 50, 1050, 50]), np.array([60, 61, 1060, 61])
+    key, block, tail = S._hashes(data, a, b, p, 200)
+    same = lambda i, j: (key[i], block[i], tail[i]) == (key[j], block[j], tail[j])
+    assert same(0, 2) and not same(0, 1) and not same(1, 3)
+
+
 def test_empty_table(spark):
     assert S.remove_repeats(empty(spark)).count() == 0
 
