@@ -1,14 +1,15 @@
-"""Map extracts in the PBF format as a Spark data source: nodes and ways, a task per run of blobs."""
+"""Map extracts in the PBF format: nodes and ways, read by blocks."""
 
 from __future__ import annotations
 
-import struct
+import bz2
+import lzma
 import zlib
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from terrafold.runtime import ship_package
 
@@ -90,52 +91,75 @@ def block_objects(data: bytes) -> Iterator[tuple]:
                 yield "way", f[1], pairs(_packed(f.get(2, b"")), _packed(f.get(3, b""))), None, None, list(_running(_packed(f.get(8, b""))))
 
 
-class _Blobs(InputPartition):
-    def __init__(self, places: list[tuple[int, int]]):
-        self.places = places
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, path: str, blobs: int):
-        self.path, self.blobs = path.removeprefix("file://"), blobs
-
-    def partitions(self) -> list[InputPartition]:
-        """Only headers are read here: where each block of data is."""
-        found = []
-        with open(self.path, "rb") as f:
-            while head := f.read(4):
-                header = dict(fields(f.read(struct.unpack(">I", head)[0])))
-                if header[1] == b"OSMData":
-                    found.append((f.tell(), header[3]))
-                f.seek(header[3], 1)
-        return [_Blobs(found[i : i + self.blobs]) for i in range(0, len(found), self.blobs)]
-
-    def read(self, partition: _Blobs) -> Iterator[tuple]:
-        with open(self.path, "rb") as f:
-            for at, size in partition.places:
-                f.seek(at)
-                blob = dict(fields(f.read(size)))
-                yield from block_objects(zlib.decompress(blob[3]) if 3 in blob else blob[1])
-
-
-class MapExtractSource(DataSource):
-    """``spark.read.format("osmpbf")``: (kind, id, tags, lat, lon, refs)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "osmpbf"
-
-    def schema(self) -> str:
-        return _SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], int(self.options.get("blobs", "16")))
+#: What a block of data is called in its header; as the end of a line it deals an extract to tasks.
+_NAME = b"OSMData"
+_MOST_BLOB = 32 << 20
+
+
+def _decoded(blob: bytes) -> bytes:
+    f = dict(fields(blob))
+    if 1 in f:
+        return f[1]
+    if 3 in f:
+        return zlib.decompress(f[3])
+    if 4 in f:
+        return lzma.decompress(f[4])
+    if 5 in f:
+        return bz2.decompress(f[5])
+    if 7 in f:
+        import zstandard
+
+        return zstandard.ZstdDecompressor().decompress(f[7], max_output_size=max(f.get(2, 0), 1))
+    raise ValueError(f"a block with the fields {sorted(f)}")
+
+
+def _blob(part: bytes) -> bytes | None:
+    """The block of data in what follows its name: the rest of its header, the block, and the start of
+    the next header. None if the block isn't whole; an error if this can't be one."""
+    size = at = 0
+    while not size:
+        key, at = _varint(part, at)
+        if key == 0x12:
+            n, at = _varint(part, at)
+            at += n
+        elif key == 0x18:
+            size, at = _varint(part, at)
+        else:
+            size = -1
+    after = part[at + size : at + size + 5] if size > 0 else b""
+    if not 0 < size <= _MOST_BLOB or len(after) == 5 and (after[:2] != b"\0\0" or after[4] != 0x0A):
+        raise ValueError("a task's bytes start within a block that holds the name of blocks; read the file in one split (spark.sql.files.maxPartitionBytes)")
+    return part[at : at + size] if len(part) >= at + size else None
+
+
+def _objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.float64(), pa.float64(), pa.list_(pa.int64())]
+    names = ["kind", "id", "tags", "lat", "lon", "refs"]
+    split, held = None, b""
+    for batch in batches:
+        for file, start, part in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            if (file, start) != split:
+                if held:
+                    raise ValueError(f"{split}: a block isn't whole")
+                split, held = (file, start), b""
+            if not held and part[:1] in (b"", b"\0"):  # a file's start, before the first block of data
+                continue
+            blob = _blob(held + part)
+            held = held + part + _NAME if blob is None else b""
+            if blob is not None and (rows := list(block_objects(_decoded(blob)))):
+                columns = [list(c) for c in zip(*rows, strict=True)]
+                columns[2] = [list(t.items()) for t in columns[2]]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+    if held:
+        raise ValueError(f"{split}: a block isn't whole")
 
 
 def read_extract(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, id, tags, lat, lon, refs) of the extract at ``path``, wherever Spark reads: its line reader
+    finds the blocks by their name and deals them to tasks. Blocks that can't be read are an error."""
     ship_package(spark)
-    spark.dataSource.register(MapExtractSource)
-    return spark.read.format("osmpbf").load(path)
+    parts = spark.read.option("lineSep", _NAME.decode()).text(path)
+    return parts.select("_metadata.file_path", "_metadata.file_block_start", F.col("value").cast("binary")).mapInArrow(_objects, _SCHEMA)
 
 
 def way_points(objects: DataFrame) -> DataFrame:

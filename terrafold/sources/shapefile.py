@@ -1,13 +1,14 @@
-"""ESRI shapefiles (polygons and lines with attributes) as a Spark data source."""
+"""ESRI shapefiles (polygons and lines with attributes)."""
 
 from __future__ import annotations
 
-import os
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
 from terrafold.runtime import ship_package
 from terrafold.sources.wkb import line_wkb, multipolygon_wkb
@@ -49,71 +50,52 @@ def shape_wkb(content: bytes) -> bytes | None:
     return multipolygon_wkb(outer)
 
 
-def attributes(path: str, encoding: str) -> tuple[list[str], Iterator[list[str | None]]]:
-    """Names and rows of the attribute table beside a shapefile; all values as text."""
-    f = open(path, "rb")  # noqa: SIM115
-    head = f.read(32)
-    count, start, length = struct.unpack("<IHH", head[4:12])
-    fields = []
-    while (one := f.read(32)) and one[0] != 0x0D:
-        fields.append((one[:11].split(b"\0")[0].decode("ascii"), one[16]))
+def attributes(data: bytes, encoding: str) -> Iterator[dict[str, str | None]]:
+    """The rows of an attribute table; all values as text."""
+    count, start, length = struct.unpack_from("<IHH", data, 4)
+    fields, at = [], 32
+    while at < len(data) and data[at] != 0x0D:
+        fields.append((data[at : at + 11].split(b"\0")[0].decode("ascii"), data[at + 16]))
+        at += 32
+    for i in range(count):
+        out, at = {}, start + i * length + 1
+        for name, size in fields:
+            out[name] = data[at : at + size].decode(encoding).strip(" \0") or None
+            at += size
+        yield out
 
-    def rows() -> Iterator[list[str | None]]:
-        with f:
-            f.seek(start)
-            for _ in range(count):
-                row, at, out = f.read(length), 1, []
-                for _, size in fields:
-                    out.append(row[at : at + size].decode(encoding).strip(" \0") or None)
-                    at += size
-                yield out
 
-    return [n for n, _ in fields], rows()
+def shapes(shp: bytes, dbf: bytes, encoding: str) -> Iterator[tuple[int, dict[str, str | None], bytes | None]]:
+    """(record, attributes, WKB) of a shapefile and the attribute table beside it."""
+    at = 100
+    for values in attributes(dbf, encoding):
+        if at + 8 > len(shp):
+            return
+        number, words = struct.unpack_from(">ii", shp, at)
+        yield number, values, shape_wkb(shp[at + 8 : at + 8 + 2 * words])
+        at += 8 + 2 * words
 
 
-class _Part(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, path: str, encoding: str):
-        self.path, self.encoding = path, encoding
-
-    def partitions(self) -> list[InputPartition]:
-        if os.path.isdir(self.path):
-            return [_Part(os.path.join(self.path, x)) for x in sorted(os.listdir(self.path)) if x.lower().endswith(".shp")]
-        return [_Part(self.path)]
-
-    def read(self, partition: _Part) -> Iterator[tuple]:
-        names, rows = attributes(partition.path[:-4] + ".dbf", self.encoding)
-        with open(partition.path, "rb") as f:
-            f.seek(100)
-            for values in rows:
-                head = f.read(8)
-                if len(head) < 8:
-                    return
-                number, words = struct.unpack(">ii", head)
-                content = f.read(2 * words)
-                yield number, dict(zip(names, values, strict=True)), shape_wkb(content)
-
-
-class ShapefileSource(DataSource):
-    """``spark.read.format("shapefile")``: (record, attributes, geometry_wkb) of a .shp, or of all in
-    a folder, one task each. The folder must be one that executors see."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "shapefile"
-
-    def schema(self) -> str:
-        return "record int, attributes map<string,string>, geometry_wkb binary"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], self.options.get("encoding", "utf-8"))
+_RECORDS = 1024
 
 
 def read_shapes(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """(record, attributes, geometry_wkb) of a .shp, or of all in a folder, wherever Spark reads; one task
+    takes a whole file (the format ends at 2 GB)."""
     ship_package(spark)
-    spark.dataSource.register(ShapefileSource)
-    return spark.read.format("shapefile").option("encoding", encoding).load(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary()]
+        for batch in batches:
+            for shp, dbf in zip(batch.column(0), batch.column(1), strict=True):
+                rows = shapes(shp.as_py(), dbf.as_py(), encoding)
+                while some := list(islice(rows, _RECORDS)):
+                    numbers, values, geometries = zip(*some, strict=True)
+                    columns = [list(numbers), [list(v.items()) for v in values], list(geometries)]
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["record", "attributes", "geometry_wkb"])
+
+    one = path.lower().endswith(".shp")
+    files = spark.read.format("binaryFile").load([path, path[:-4] + (".DBF" if path.endswith(".SHP") else ".dbf")] if one else path)
+    stem, ending = F.regexp_replace("path", r"\.[^.]*$", "").alias("stem"), F.lower(F.substring_index("path", ".", -1))
+    side = lambda kind: files.where(ending == kind).select(stem, F.col("content").alias(kind))
+    return side("shp").join(side("dbf"), "stem").select("shp", "dbf").mapInArrow(run, "record int, attributes map<string,string>, geometry_wkb binary")

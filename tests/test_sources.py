@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import bz2
+import lzma
 import struct
 import zlib
 
+import pytest
+
 from terrafold.plans import build
 from terrafold.sources import osm, shapefile, wkb
 
@@ -47,6 +51,30 @@ def extract(path):
             f.write(struct.pack(">I", len(head)) + head + blob)
 
 
+@pytest.mark.parametrize("pack", [lambda d: field(1, d), lambda d: field(3, zlib.compress(d)), lambda d: field(4, lzma.compress(d)), lambda d: field(5, bz2.compress(d))])
+def test_many_blocks(spark, tmp_path, pack):
+    """Blocks of each encoding, one with the name of blocks among its strings."""
+    with open(tmp_path / "x.pbf", "wb") as f:
+        for i in range(40):
+            strings = b"".join(field(1, x) for x in (b"", b"source", b"OSMData" if i == 7 else b"survey"))
+            node = field(1, zig(i)) + field(2, packed([1])) + field(3, packed([2])) + field(8, zig(i)) + field(9, zig(2 * i))
+            data = field(1, strings) + field(2, field(1, node))
+            blob = pack(data)
+            head = field(1, b"OSMData") + (field(2, b"index") if i % 2 else b"") + field(3, len(blob))
+            f.write(struct.pack(">I", len(head)) + head + blob)
+    one_split = b"OSMData" in pack(b"OSMData" * 2)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m" if one_split else "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = osm.read_extract(spark, str(tmp_path))
+        assert one_split or found.rdd.getNumPartitions() > 4
+        got = {(r["id"], r["tags"]["source"], round(r["lon"] * 1e7)) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {(i, "OSMData" if i == 7 else "survey", 2 * i) for i in range(40)}
+
+
 def test_map_extract(spark, tmp_path):
     path = str(tmp_path / "x.pbf")
     extract(path)
