@@ -145,7 +145,7 @@ def test_blocks(spark, monkeypatch, block):
     assert counted(K.stitch(K.scan(blocks, end_id=5))) == sorted(want)
 
 
-@pytest.mark.parametrize(("width", "end", "high", "split"), [(2, 0x2021, 0x2323, "297"), (4, 0x20, 0x24, "500"), (2, 50256, 50258, "128m")])
+@pytest.mark.parametrize(("width", "end", "high", "split"), [(2, 0x2021, 0x2323, "297"), (4, 0x20, 0x24, "500"), (2, 50256, 50258, "128m"), (1, 33, 40, "128m"), (2, 0x2020, 0x2323, "128m")])
 def test_flat_files(spark, tmp_path, monkeypatch, width, end, high, split):
     monkeypatch.setattr(K, "_GROUP_BYTES", 128)
     rng = np.random.default_rng(width + end)
