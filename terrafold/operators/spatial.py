@@ -138,17 +138,22 @@ def nearest_point(queries: DataFrame, places: DataFrame, query_id: str = "id", p
     The window is a square of degrees, widened step by step; ties go to the lowest place id.
     ``same`` names a column that query and place must share (such as the township). Each step only
     takes queries that no step before has answered.
+
+    Places at one spot are as far from any query, so they are met as one: the lowest of their ids, and
+    how many they are. The first steps share cells, so that spots are dealt by them once.
     """
+    spots = places.groupBy("lat", "lon", *([same] if same else [])).agg(F.min(place_id).alias(place_id), F.count("*").alias("there"))
     out, open_ = None, queries
     for radius in radii:
+        size = max(radius, *radii[:2])
         left = open_.select(query_id, F.col("lat").alias("q_lat"), F.col("lon").alias("q_lon"), *([same] if same else []))
-        left = left.withColumn("cy", F.explode(G.cells(F.col("q_lat") - radius, F.col("q_lat") + radius, radius)))
-        left = left.withColumn("cx", F.explode(G.cells(F.col("q_lon") - radius, F.col("q_lon") + radius, radius)))
-        right = places.select(place_id, "lat", "lon", G.cell("lat", radius).alias("cy"), G.cell("lon", radius).alias("cx"), *([same] if same else []))
+        left = left.withColumn("cy", F.explode(G.cells(F.col("q_lat") - radius, F.col("q_lat") + radius, size)))
+        left = left.withColumn("cx", F.explode(G.cells(F.col("q_lon") - radius, F.col("q_lon") + radius, size)))
+        right = spots.select(place_id, "there", "lat", "lon", G.cell("lat", size).alias("cy"), G.cell("lon", size).alias("cx"), *([same] if same else []))
         near = left.join(right, ["cy", "cx", *([same] if same else [])])
         near = near.where((F.abs(F.col("lat") - F.col("q_lat")) <= radius) & (F.abs(F.col("lon") - F.col("q_lon")) <= radius))
         near = near.withColumn("distance_m", G.haversine_m("q_lat", "q_lon", "lat", "lon"))
-        best = near.groupBy(query_id).agg(F.min(F.struct("distance_m", place_id)).alias("b"), F.count("*").alias("candidates"))
+        best = near.groupBy(query_id).agg(F.min(F.struct("distance_m", place_id)).alias("b"), F.sum("there").alias("candidates"))
         # The test keeps both sums in every use of this step, so that its exchange is made once.
         found = best.where("b is not null and candidates > 0").select(query_id, F.col(f"b.{place_id}").alias(place_id), F.col("b.distance_m").alias("distance_m"), "candidates")
         out = found if out is None else out.unionByName(found)

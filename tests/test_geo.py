@@ -60,3 +60,12 @@ def test_reverse_geocode_text(spark):
     show = lambda d: S.location_text(F.lit("台中市"), F.lit("中區"), F.lit("中山路"), F.lit("x"), F.lit(d).cast("double"))
     row = spark.range(1).select(show(10.0).alias("a"), show(80.0).alias("b"), show(None).alias("c")).first()
     assert tuple(row) == ("x", "台中市中區 中山路 附近", "台中市中區 中山路 附近")
+
+
+def test_places_at_one_spot_are_met_as_one(spark):
+    places = spark.range(6000).selectExpr("10 + id as place_id", "24.0D + (id % 2) / 1000.0D as lat", "120.0D as lon")
+    asked = spark.createDataFrame([(1, 24.0, 120.004), (2, 24.0012, 120.0), (3, 24.02, 120.0), (4, 25.0, 120.0)], "id long, lat double, lon double")
+    found = S.nearest_point(asked, places)
+    assert {r["id"]: (r["place_id"], r["candidates"]) for r in found.collect()} == {1: (10, 6000), 2: (11, 3000), 3: (11, 6000)}
+    # The places reach the join summed up by spot.
+    assert "Aggregate [lat" in found._jdf.queryExecution().optimizedPlan().toString()
