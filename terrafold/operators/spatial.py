@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrafold.functions import geo as G
+from terrafold.operators.ingest import LISTED
 
 #: Degrees of a cell for areas; the other joins take cells of their search radius.
 AREA_CELL = 0.05
@@ -199,7 +200,10 @@ def reverse_geocode(points: DataFrame, areas: DataFrame, area_edges: DataFrame,
     road = nearest_line(points, road_edges).join(roads, "line_id").select("id", F.col("name").alias("road"), "highway", F.col("distance_m").alias("road_m"))
     out = points.select("id", "lat", "lon").join(town, "id", "left").join(road, "id", "left")
     if with_addresses:
-        address = nearest_point(points, places).join(places.select("place_id", "display_name"), "place_id")
+        found = nearest_point(points, places)
+        # A point has one address at most, so counted points bound the rows that are sent to all tasks.
+        found = F.broadcast(found) if points.limit(LISTED + 1).count() <= LISTED else found
+        address = places.select("place_id", "display_name").join(found, "place_id")
         out = out.join(address.select("id", F.col("display_name").alias("address"), F.col("distance_m").alias("address_m")), "id", "left")
     else:
         out = out.withColumn("address", F.lit(None).cast("string")).withColumn("address_m", F.lit(None).cast("double"))

@@ -69,3 +69,22 @@ def test_places_at_one_spot_are_met_as_one(spark):
     assert {r["id"]: (r["place_id"], r["candidates"]) for r in found.collect()} == {1: (10, 6000), 2: (11, 3000), 3: (11, 6000)}
     # The places reach the join summed up by spot.
     assert "Aggregate [lat" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("snap_m", [0.0])
+def test_texts_of_addresses_stay_where_they_are(spark, snap_m):
+    areas = spark.createDataFrame([(1, 8, "甲鎮", "乙縣")], "area_id int, level int, name string, county string")
+    ring = [(120.0, 24.0), (120.1, 24.0), (120.1, 24.1), (120.0, 24.1), (120.0, 24.0)]
+    area_edges = spark.createDataFrame([(1, *a, *b) for a, b in zip(ring, ring[1:], strict=False)], "area_id int, x1 double, y1 double, x2 double, y2 double")
+    roads = spark.createDataFrame([(1, "中山路", "primary")], "line_id int, name string, highway string")
+    road_edges = spark.createDataFrame([(1, 120.0, 24.05, 120.1, 24.05)], "line_id int, x1 double, y1 double, x2 double, y2 double")
+    places = spark.range(1000).selectExpr("id as place_id", "24.0D + (id % 10) / 100.0D as lat", "120.05D as lon", "concat(id, '號') as display_name")
+    points = spark.createDataFrame([(1, 24.0501, 120.05), (2, 24.06, 120.0502), (3, 24.2, 120.2)], "id long, lat double, lon double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = S.reverse_geocode(points, areas, area_edges, roads, road_edges, places, snap_m)
+        assert {r["id"]: (r["town"], r["address"], r["shown"]) for r in found.collect()} == {1: ("甲鎮", "5號", "5號"), 2: ("甲鎮", "6號", "6號"), 3: (None, None, "  附近")}
+        # The found addresses are sent to the table of places, not the places by id to them.
+        assert "BroadcastHashJoin [place_id" in found._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
