@@ -71,7 +71,7 @@ def test_places_at_one_spot_are_met_as_one(spark):
     assert "Aggregate [lat" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("snap_m", [0.0])
+@pytest.mark.parametrize("snap_m", [0.0, 500.0])
 def test_texts_of_addresses_stay_where_they_are(spark, snap_m):
     areas = spark.createDataFrame([(1, 8, "甲鎮", "乙縣")], "area_id int, level int, name string, county string")
     ring = [(120.0, 24.0), (120.1, 24.0), (120.1, 24.1), (120.0, 24.1), (120.0, 24.0)]
