@@ -27,8 +27,10 @@ PROBED = 5
 BESIDE, MOST_BESIDE = (-8, -4, 12, 16), 0.3
 #: Bit errors up to which an alignment is a match, and frames that must overlap.
 MOST_ERRORS, LEAST_OVERLAP = 0.15, 16
-#: Recordings that thresholds are fitted on, at most.
-SAMPLE = 500
+#: Responses are multiples of 1 / 2 ** GRAIN, so that all of them can be counted by value.
+GRAIN = 10
+#: Responses of recordings that are counted together, about.
+_COUNTED = 1 << 20
 
 
 def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
@@ -83,7 +85,7 @@ def responses(frames: np.ndarray) -> np.ndarray:
         else:  # middle frames against the others
             r = 2 * area(w // 4, w - w // 4, y, y + h) - area(0, w // 4, y, y + h) - area(w - w // 4, w, y, y + h)
         out[:, k] = r
-    return out
+    return np.ldexp(np.rint(np.ldexp(out, GRAIN)), -GRAIN)
 
 
 def quantise(response: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
@@ -134,24 +136,69 @@ def probes(keys: np.ndarray, places: np.ndarray, response: np.ndarray, threshold
 Decode = Callable[[object], tuple[np.ndarray, int]]
 
 
-def fit_thresholds(recordings: DataFrame, media: str, decode: Decode = decode_wav) -> np.ndarray:
-    """Quartiles of each filter's responses over ``SAMPLE`` different recordings at most, chosen by hash."""
-    rows = recordings.select(F.col(media).alias("media")).where("media is not null").withColumn("k", F.xxhash64("media"))
-    n = rows.agg(F.approx_count_distinct("k")).first()[0]
-    drawn = rows.where(F.pmod("k", F.lit(1 << 20)) < (1 << 20) * min(1.0, 1.2 * SAMPLE / max(n, 1)))
-    drawn = drawn.dropDuplicates(["k"]).orderBy("k").limit(SAMPLE).select("media")
+def _counted(recordings: DataFrame, decode: Decode) -> DataFrame:
+    """(filter, step, n): how often a filter gives a response, in steps of 1 / 2 ** ``GRAIN``, in all
+    frames of all ``recordings`` (media)."""
+
+    def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.record_batch([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        held = 0
         for batch in batches:
             for value in batch.column(0):
                 r = responses(chroma(*decode(value.as_py())))
-                yield pa.record_batch([pa.array([r[:: max(1, len(r) // 64)][:64].tobytes()], pa.binary())], names=["r"])
+                steps = np.ldexp(r[np.isfinite(r).all(axis=1)], GRAIN).astype(np.int64)
+                parts.append((steps * len(FILTERS) + np.arange(len(FILTERS))).ravel())
+                held += len(parts[-1])
+                if held > _COUNTED:
+                    yield summed(parts)
+                    parts, held = [], 0
+        if parts:
+            yield summed(parts)
+
+    all_ = recordings.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    of = F.pmod("key", F.lit(len(FILTERS)))
+    return all_.select(of.cast("int").alias("filter"), F.expr(f"(key - pmod(key, {len(FILTERS)})) div {len(FILTERS)}").alias("step"), "n")
+
+
+def _columns(counts: DataFrame) -> list[np.ndarray]:
+    """The columns (filter, value, n) of a small table in order of filter and value."""
+    table = counts.toArrow()
+    found = [x.to_numpy() for x in table.columns]
+    order = np.lexsort((found[1], found[0]))
+    return [x[order] for x in found]
 
-    found = [np.frombuffer(bytes(x[0])).reshape(-1, len(FILTERS)) for x in drawn.mapInArrow(run, "r binary").collect()]
-    found = [x for x in found if len(x)]
-    if not found:
-        return np.zeros((len(FILTERS), 3))
-    return np.quantile(np.concatenate(found), [0.25, 0.5, 0.75], axis=0).T.copy()
+
+def fit_thresholds(recordings: DataFrame, media: str, decode: Decode = decode_wav) -> np.ndarray:
+    """Quartiles of each filter's responses in all frames of all different recordings: the least response
+    that a quarter, half or three quarters of them don't exceed.
+
+    The responses are counted by value; the driver gets counts of whole units, then those of the
+    steps of the units that the quartiles lie in, however many recordings there are.
+    """
+    out = np.zeros((len(FILTERS), 3))
+    rows = recordings.select(F.col(media).alias("media")).where("media is not null").distinct()
+    scratch = Scratch(recordings.sparkSession, "thresholds")
+    counts = scratch.write(_counted(rows, decode))
+    unit = F.shiftright("step", GRAIN).alias("unit")
+    kind, units, n = _columns(counts.groupBy("filter", unit).agg(F.sum("n").alias("n")).select("filter", "unit", "n"))
+    places = []
+    for k in np.unique(kind):
+        own, upto = units[kind == k], n[kind == k].cumsum()
+        for q in range(3):
+            at = np.searchsorted(4 * upto, (q + 1) * upto[-1])
+            places.append((int(k), q, int(own[at]), int(upto[at] - n[kind == k][at]), int(upto[-1])))
+    code = F.shiftright("step", GRAIN) * len(FILTERS) + F.col("filter")
+    kind, steps, n = _columns(counts.where(code.isin([u * len(FILTERS) + k for k, _, u, _, _ in places])))
+    for k, q, u, before, total in places:
+        inside = (kind == k) & (steps >> GRAIN == u)
+        at = np.searchsorted(4 * (before + n[inside].cumsum()), (q + 1) * total)
+        out[k, q] = steps[inside][at] / (1 << GRAIN)
+    scratch.drop(counts)
+    return out
 
 
 _MADE = ("prints array<int>", "keys array<long>", "places array<long>", "beside array<long>", "masks array<long>", "probes array<long>")
