@@ -1,4 +1,5 @@
-"""Near-duplicates by resemblance: candidates from MinHash bands, decided by their shingle sets."""
+"""Near-duplicates by resemblance: candidates from SimHash components and MinHash bands, decided by their
+shingle sets."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terrafold.llm import simhash
 from terrafold.llm.components import components
 from terrafold.llm.shared import _FEW, Scratch, slices, small
 
@@ -56,19 +58,22 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, node, hashes, keys, rid): node stands for the set of shingles, rid for the row."""
+    """(doc_id, h, node, hashes, keys, fp, rid): node stands for the set of shingles, fp is the text's
+    SimHash fingerprint, rid stands for the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            made = [shingles(t.as_py()) for t in batch.column(2)]
+            texts = batch.column(2).to_pylist()
+            made = [shingles(t) for t in texts]
+            fps = np.fromiter((simhash.fingerprint(t) for t in texts), np.uint64, len(texts))
             data = [x.tobytes() for x in made]
             nodes = np.array([xxhash.xxh64_intdigest(x) for x in data], np.uint64).view(np.int64)
-            columns = [batch.column(0), batch.column(1), pa.array(nodes), pa.array(data, pa.binary()), pa.array([bands(x) for x in made], pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, names=["doc_id", "h", "node", "hashes", "keys"])
+            columns = [batch.column(0), batch.column(1), pa.array(nodes), pa.array(data, pa.binary()), pa.array([bands(x) for x in made], pa.list_(pa.int64())), pa.array(fps.view(np.int64))]
+            yield pa.record_batch(columns, names=["doc_id", "h", "node", "hashes", "keys", "fp"])
         pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    return rows.mapInArrow(run, "doc_id long, h long, node long, hashes binary, keys array<long>").withColumn("rid", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, "doc_id long, h long, node long, hashes binary, keys array<long>, fp long").withColumn("rid", F.monotonically_increasing_id())
 
 
 def _similar(pairs: DataFrame, made: DataFrame, scratch: Scratch) -> DataFrame:
@@ -157,10 +162,19 @@ def _may_be(a: Column, b: Column) -> Column:
     return F.least(a["common"], b["common"]) * (1 + SIMILARITY) >= SIMILARITY * (a["size"] + b["size"]) - 1e-6
 
 
+def _by_fingerprint(made: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, key): a key for each set with words and each SimHash component that one of its texts is of
+    (fingerprints linked at 2 or fewer differing bits, by ball hashing)."""
+    own = scratch.write(made.where("octet_length(hashes) > 0").select("node", "fp").distinct())
+    roots = components(simhash.links(own), scratch).withColumnRenamed("node", "fp")
+    return own.join(roots, "fp", "left").select("node", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key"))
+
+
 def similar_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, h, root): a row per row of ``docs``; rows whose sets are linked have the same root.
 
-    Links are pairs that share a band and are similar. A set of which less than ``SIMILARITY`` stands
+    Links are pairs that are similar and share a SimHash component or, as near copies can be further
+    apart than its bits, a MinHash band; below, both are called bands. A set of which less than ``SIMILARITY`` stands
     in any other set is similar to none. The others of a band are first compared with the one that
     has the least share of its own (of near copies, the text that they are copies of), so that a
     group of near copies costs a pair for each; those that are then in different groups go through
@@ -169,7 +183,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "resemblance")
     made = scratch.write(_sets(docs))
-    each = scratch.write(made.select("node", F.explode("keys").alias("key")).distinct())
+    each = scratch.write(made.select("node", F.explode("keys").alias("key")).union(_by_fingerprint(made, scratch)).distinct())
     often = each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     nodes = scratch.write(each.join(often, "key", "left_semi").select("node").distinct())
     known = _known(nodes, made, scratch).where(F.col("common") >= SIMILARITY * F.col("size") - 1e-6)

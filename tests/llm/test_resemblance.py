@@ -67,3 +67,16 @@ def test_a_chain_through_a_band(spark):
 def test_no_rows_and_no_words(spark):
     assert R.similar_groups(empty(spark)).count() == 0
     assert R.similar_groups(frame(spark, [(1, ""), (2, None), (3, " \n")])).select("root").distinct().count() == 1
+
+
+def test_a_pair_that_only_simhash_finds(spark):
+    rng = random.Random(2612)
+    words = ["lo"] * 400 + [f"w{rng.getrandbits(30)}" for _ in range(44)]
+    changed = [*words[:420], "changed", *words[421:]]
+    a, b = (R.shingles(" ".join(x)) for x in (words, changed))
+    assert R.similarity(a, b) >= R.SIMILARITY and not set(R.bands(a)) & set(R.bands(b))
+    other = ["lo"] * 400 + [f"v{i}" for i in range(44)]  # the same fingerprint, but a different text
+    data = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(other))]
+    assert len({S.fingerprint(t) for _, t in data}) == 1
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, data), "").collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 3]
