@@ -173,14 +173,14 @@ def _columns(counts: DataFrame) -> list[np.ndarray]:
 
 
 def fit_thresholds(recordings: DataFrame, media: str, decode: Decode = decode_wav) -> np.ndarray:
-    """Quartiles of each filter's responses in all frames of all different recordings: the least response
-    that a quarter, half or three quarters of them don't exceed.
+    """Quartiles of each filter's responses in all frames of all recordings: the least response that a
+    quarter, half or three quarters of them don't exceed. Recordings stay where they are; copies count.
 
     The responses are counted by value; the driver gets counts of whole units, then those of the
     steps of the units that the quartiles lie in, however many recordings there are.
     """
     out = np.zeros((len(FILTERS), 3))
-    rows = recordings.select(F.col(media).alias("media")).where("media is not null").distinct()
+    rows = recordings.select(F.col(media).alias("media")).where("media is not null")
     scratch = Scratch(recordings.sparkSession, "thresholds")
     counts = scratch.write(_counted(rows, decode))
     unit = F.shiftright("step", GRAIN).alias("unit")

@@ -130,6 +130,6 @@ def test_thresholds_are_quartiles_of_all_responses(spark):
     vectors = [(rng.standard_normal(64) / (8 if i < 600 else 2)).tolist() for i in range(900)]
     rows = [(i, v) for i, v in enumerate([*vectors, *[vectors[0]] * 50])] + [(2000, (rng.standard_normal(2000) / 2).tolist()), (2001, None), (2002, [])]
     df = spark.createDataFrame(rows, "id long, media array<double>").repartition(5)
-    every = np.concatenate([A.responses(A.chroma(*A.render_vector(v))) for v in [*vectors, rows[-3][1]]])
+    every = np.concatenate([A.responses(A.chroma(*A.render_vector(v))) for _, v in rows])
     assert (A.fit_thresholds(df, "media", A.render_vector) == np.quantile(every, [0.25, 0.5, 0.75], axis=0, method="inverted_cdf").T).all()
     assert not A.fit_thresholds(df.where("id > 2000"), "media", A.render_vector).any()
