@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from terrafold.functions import geo as G
 from terrafold.operators.ingest import LISTED
@@ -63,15 +62,20 @@ def containing_area(points: DataFrame, areas: DataFrame, edges: DataFrame, point
 
     A county that the area doesn't carry comes from the level-4 area that covers the point.
     """
-    hits = covering(points, edges, point_id).join(areas, "area_id")
+    found = _own_and_county(points, areas, edges, point_id, levels).where("own is not null")
+    return found.select(point_id, "own.area_id", "own.level", F.coalesce("own.county", "county_4").alias("county"), "own.name")
+
+
+def _own_and_county(points: DataFrame, areas: DataFrame, edges: DataFrame, point_id: str, levels: tuple[int, ...] = (8, 7)) -> DataFrame:
+    """(point_id, own, county_4): of each covered point the area that ``containing_area`` describes, null
+    without one, and the name of its level-4 area (the lowest id of several), from one covering join."""
     order = F.lit(len(levels))
     for i, level in enumerate(levels):
         order = F.when(F.col("level") == level, i).otherwise(order)
-    first = Window.partitionBy(point_id).orderBy(order, "area_id")
-    own = hits.where(F.col("level").isin(*levels)).withColumn("rn", F.row_number().over(first)).where("rn = 1")
-    county = hits.where("level = 4").groupBy(point_id).agg(F.min_by("name", "area_id").alias("county_4"))
-    out = own.join(county, point_id, "left")
-    return out.select(point_id, "area_id", "level", F.coalesce("county", "county_4").alias("county"), "name")
+    own = F.when(F.col("level").isin(*levels), F.struct(order.alias("order"), "area_id", "level", "county", "name"))
+    county = [F.when(F.col("level") == 4, F.col(x)) for x in ("name", "area_id")]
+    hits = covering(points, edges, point_id).join(areas, "area_id")
+    return hits.groupBy(point_id).agg(F.min(own).alias("own"), F.min_by(*county).alias("county_4"))
 
 
 def outside(points: DataFrame, areas: DataFrame, edges: DataFrame, names: list[str], point_id: str = "id") -> DataFrame:
@@ -81,16 +85,19 @@ def outside(points: DataFrame, areas: DataFrame, edges: DataFrame, names: list[s
     return points.join(inside.select(point_id).distinct(), point_id, "left_anti")
 
 
-def _near_edges(points: DataFrame, edges: DataFrame, point_id: str, radius: float) -> DataFrame:
-    """Pairs of points and edges whose boxes meet within a radius in degrees."""
-    left = points.select(point_id, "lat", "lon")
-    left = left.withColumn("cy", F.explode(G.cells(F.col("lat") - radius, F.col("lat") + radius, radius)))
-    left = left.withColumn("cx", F.explode(G.cells(F.col("lon") - radius, F.col("lon") + radius, radius)))
-    right = edges.withColumn("cy", F.explode(G.cells(F.least("y1", "y2"), F.greatest("y1", "y2"), radius)))
-    right = right.withColumn("cx", F.explode(G.cells(F.least("x1", "x2"), F.greatest("x1", "x2"), radius)))
-    meets = G.boxes_overlap(F.least("y1", "y2"), F.greatest("y1", "y2"), F.least("x1", "x2"), F.greatest("x1", "x2"), F.col("lat") - radius, F.col("lat") + radius, F.col("lon") - radius, F.col("lon") + radius)
-    pairs = left.join(right, ["cy", "cx"]).where(meets)
-    return pairs.drop("cy", "cx").distinct()
+def _near_boxes(points: DataFrame, boxes: DataFrame, point_id: str, box: tuple[Column, Column, Column, Column], radius: float) -> DataFrame:
+    """(point_id, lat, lon, ``boxes``): pairs of points and boxes (south, north, west, east) within a radius in degrees.
+
+    Boxes are dealt to all cells within the radius, points to their own, so that a pair meets once and
+    the points, which are the many, are not multiplied. The residual test decides; cells reach a little
+    further, as it rounds otherwise.
+    """
+    south, north, west, east = box
+    reach = radius * (1 + 1e-6)
+    left = points.select(point_id, "lat", "lon", G.cell("lat", radius).alias("cy"), G.cell("lon", radius).alias("cx"))
+    right = boxes.withColumn("cy", F.explode(G.cells(south - reach, north + reach, radius))).withColumn("cx", F.explode(G.cells(west - reach, east + reach, radius)))
+    meets = G.boxes_overlap(*box, F.col("lat") - radius, F.col("lat") + radius, F.col("lon") - radius, F.col("lon") + radius)
+    return left.join(right, ["cy", "cx"]).where(meets).drop("cy", "cx")
 
 
 def nearest_line(points: DataFrame, edges: DataFrame, point_id: str = "id", line_id: str = "line_id", radius: float = ROAD_RADIUS) -> DataFrame:
@@ -99,12 +106,8 @@ def nearest_line(points: DataFrame, edges: DataFrame, point_id: str = "id", line
     For each line its nearest place is the one nearest in degrees; lines are then compared by the
     metres to that place (the lowest id of equals).
     """
-    boxes = _boxes(edges, line_id)
-    window = points.select(point_id, F.lit(0).alias("_"), "lat", "lon")
-    left = window.withColumn("cy", F.explode(G.cells(F.col("lat") - radius, F.col("lat") + radius, radius))).withColumn("cx", F.explode(G.cells(F.col("lon") - radius, F.col("lon") + radius, radius)))
-    right = boxes.withColumn("cy", F.explode(G.cells("min_lat", "max_lat", radius))).withColumn("cx", F.explode(G.cells("min_lon", "max_lon", radius)))
-    meets = G.boxes_overlap("min_lat", "max_lat", "min_lon", "max_lon", F.col("lat") - radius, F.col("lat") + radius, F.col("lon") - radius, F.col("lon") + radius)
-    pairs = left.join(right, ["cy", "cx"]).where(meets).select(point_id, "lat", "lon", line_id).distinct()
+    box = tuple(map(F.col, ("min_lat", "max_lat", "min_lon", "max_lon")))
+    pairs = _near_boxes(points, _boxes(edges, line_id), point_id, box, radius).select(point_id, "lat", "lon", line_id)
     qx, qy = G.nearest_on_segment("lon", "lat", "x1", "y1", "x2", "y2")
     each = pairs.join(edges, line_id).withColumn("qx", qx).withColumn("qy", qy)
     planar = F.pow(F.col("lon") - F.col("qx"), 2) + F.pow(F.col("lat") - F.col("qy"), 2)
@@ -122,7 +125,8 @@ def snapped_area(points: DataFrame, edges: DataFrame, tolerance_m: float, point_
     """
     radius = tolerance_m / G.METRES_PER_DEGREE
     window = (F.col("lat") - radius, F.col("lat") + radius, F.col("lon") - radius, F.col("lon") + radius)
-    near = _near_edges(points, edges, point_id, 2 * radius).join(_boxes(edges, area_id), area_id)
+    box = (F.least("y1", "y2"), F.greatest("y1", "y2"), F.least("x1", "x2"), F.greatest("x1", "x2"))
+    near = _near_boxes(points, edges, point_id, box, 2 * radius).join(_boxes(edges, area_id), area_id)
     near = near.where(G.boxes_overlap("min_lat", "max_lat", "min_lon", "max_lon", *window))
     qx, qy = G.nearest_on_segment("lon", "lat", "x1", "y1", "x2", "y2")
     each = near.withColumn("qx", qx).withColumn("qy", qy)
@@ -162,13 +166,6 @@ def nearest_point(queries: DataFrame, places: DataFrame, query_id: str = "id", p
     return out
 
 
-def county_of(points: DataFrame, areas: DataFrame, area_edges: DataFrame, point_id: str = "id") -> DataFrame:
-    """(point_id, county): the level-4 area that covers each point (the lowest id of several)."""
-    counties = areas.where("level = 4").select("area_id", "name")
-    hits = covering(points, area_edges.join(counties.select("area_id"), "area_id", "left_semi"), point_id).join(counties, "area_id")
-    return hits.groupBy(point_id).agg(F.min_by("name", "area_id").alias("county"))
-
-
 # The text after the name of a road.
 NEARBY = " 附近"
 
@@ -186,24 +183,25 @@ def reverse_geocode(points: DataFrame, areas: DataFrame, area_edges: DataFrame,
     township takes the nearest one within ``snap_m`` (approx is then true); its county is the one
     that covers it, else the township's.
     """
-    town = containing_area(points, areas, area_edges).select("id", "county", F.col("name").alias("town"), F.lit(False).alias("approx"))
-    rest = points.join(town.select("id"), "id", "left_anti")
-    alone = rest.select("id").join(county_of(rest, areas, area_edges), "id", "left")
+    out = points.select("id", "lat", "lon").join(_own_and_county(points, areas, area_edges, "id"), "id", "left")
+    county, town, approx = F.coalesce("own.county", "county_4"), F.col("own.name"), F.lit(False)
     if snap_m > 0:
-        towns = areas.where(F.col("level").isin(7, 8)).select("area_id", F.col("county").alias("own"), "name")
-        near = snapped_area(rest, area_edges.join(towns.select("area_id"), "area_id", "left_semi"), snap_m).join(towns, "area_id")
-        alone = alone.join(near.select("id", "own", F.col("name").alias("town")), "id", "left")
-        alone = alone.select("id", F.coalesce("county", "own").alias("county"), "town", F.col("town").isNotNull().alias("approx"))
-        town = town.unionByName(alone)
-    else:
-        town = town.unionByName(alone.select("id", "county", F.lit(None).cast("string").alias("town"), F.lit(False).alias("approx")))
+        towns = areas.where(F.col("level").isin(7, 8)).select("area_id", F.col("county").alias("snapped_county"), F.col("name").alias("snapped"))
+        near = snapped_area(out.where("own is null"), area_edges.join(towns.select("area_id"), "area_id", "left_semi"), snap_m).join(towns, "area_id")
+        out = out.join(near.select("id", "snapped_county", "snapped"), "id", "left")
+        county, town, approx = F.coalesce(county, "snapped_county"), F.coalesce(town, "snapped"), F.col("snapped").isNotNull()
+    out = out.select("id", "lat", "lon", county.alias("county"), town.alias("town"), approx.alias("approx"))
     road = nearest_line(points, road_edges).join(roads, "line_id").select("id", F.col("name").alias("road"), "highway", F.col("distance_m").alias("road_m"))
-    out = points.select("id", "lat", "lon").join(town, "id", "left").join(road, "id", "left")
+    out = out.join(road, "id", "left")
     if with_addresses:
-        found = nearest_point(points, places)
+        found, texts = nearest_point(points, places), places.select("place_id", "display_name")
         # A point has one address at most, so counted points bound the rows that are sent to all tasks.
-        found = F.broadcast(found) if points.limit(LISTED + 1).count() <= LISTED else found
-        address = places.select("place_id", "display_name").join(found, "place_id")
+        # Of more points, texts are dealt once for each spot: only its lowest id can be found.
+        if points.limit(LISTED + 1).count() <= LISTED:
+            found = F.broadcast(found)
+        else:
+            texts = places.groupBy("lat", "lon").agg(F.min("place_id").alias("place_id"), F.min_by("display_name", "place_id").alias("display_name"))
+        address = texts.join(found, "place_id")
         out = out.join(address.select("id", F.col("display_name").alias("address"), F.col("distance_m").alias("address_m")), "id", "left")
     else:
         out = out.withColumn("address", F.lit(None).cast("string")).withColumn("address_m", F.lit(None).cast("double"))

@@ -88,3 +88,41 @@ def test_texts_of_addresses_stay_where_they_are(spark, snap_m):
         assert "BroadcastHashJoin [place_id" in found._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_points_are_not_multiplied_near_lines_and_areas(spark):
+    edges = [(1, 120.0, 24.0, 120.03, 24.0), (2, 120.3, 24.02, 120.3, 24.3)]
+    points = [(i, 24.0 + y * step, 120.0 + x * step) for i, (step, x, y) in enumerate((s, x, y) for s in (0.01, 0.007) for x in range(-4, 35) for y in range(-4, 6))]
+    asked, lines = spark.createDataFrame(points, "id long, lat double, lon double"), spark.createDataFrame(edges, "line_id int, x1 double, y1 double, x2 double, y2 double")
+    near = lambda p, e, r: min(e[2], e[4]) <= p[1] + r and max(e[2], e[4]) >= p[1] - r and min(e[1], e[3]) <= p[2] + r and max(e[1], e[3]) >= p[2] - r
+    for radius in (0.01, 0.007, 0.03):
+        found = S.nearest_line(asked, lines, radius=radius)
+        assert {r["id"] for r in found.collect()} == {p[0] for p in points if any(near(p, e, radius) for e in edges)}
+    snapped = S.snapped_area(asked, lines.withColumnRenamed("line_id", "area_id"), 1500.0)
+    # Cells of edges are listed, those of points are not.
+    assert optimized(found).count("Generate explode") == optimized(snapped).count("Generate explode") == 2
+
+
+def test_areas_of_points_are_met_once(spark, monkeypatch):
+    monkeypatch.setattr(S, "LISTED", 2)
+    square = lambda i, x, n: [(i, x, 24.0, x + n, 24.0), (i, x + n, 24.0, x + n, 24.1), (i, x + n, 24.1, x, 24.1), (i, x, 24.1, x, 24.0)]
+    areas = spark.createDataFrame([(1, 8, "甲鎮", None), (2, 7, "乙區", "丙縣"), (3, 4, "丁縣", None)], "area_id int, level int, name string, county string")
+    area_edges = spark.createDataFrame(square(1, 120.0, 0.1) + square(2, 120.05, 0.1) + square(3, 120.0, 0.3), "area_id int, x1 double, y1 double, x2 double, y2 double")
+    roads = spark.createDataFrame([(1, "中山路", "primary")], "line_id int, name string, highway string")
+    road_edges = spark.createDataFrame([(1, 120.0, 24.05, 120.1, 24.05)], "line_id int, x1 double, y1 double, x2 double, y2 double")
+    places = spark.range(1000).selectExpr("id as place_id", "24.0D + (id % 10) / 100.0D as lat", "120.05D as lon", "nullif(concat(id, '號'), '6號') as display_name")
+    points = spark.createDataFrame([(1, 24.0501, 120.05), (2, 24.06, 120.1), (3, 24.06, 120.12), (4, 24.06, 120.151), (5, 24.06, 120.2), (6, 24.0601, 120.0501), (7, 24.06, 121.0)], "id long, lat double, lon double")
+    towns = {1: ("甲鎮", "丁縣", False, "5號"), 2: ("甲鎮", "丁縣", False, None), 3: ("乙區", "丙縣", False, None), 4: ("乙區", "丁縣", True, None), 5: (None, "丁縣", False, None), 6: ("甲鎮", "丁縣", False, None), 7: (None, None, False, None)}
+    found = S.reverse_geocode(points, areas, area_edges, roads, road_edges, places, 500.0)
+    assert {r["id"]: (r["town"], r["county"], r["approx"], r["address"]) for r in found.collect()} == towns
+    plain = S.reverse_geocode(points, areas, area_edges, roads, road_edges, places)
+    assert {r["id"]: r["town"] for r in plain.collect()} == {i: None if i == 4 else t[0] for i, t in towns.items()}
+    # Areas are met once for all points, and once more to know which are snapped (three lists of cells each).
+    lists = [optimized(S.reverse_geocode(points, areas, area_edges, roads, road_edges, None, m, with_addresses=False)).count("Generate explode") for m in (0.0, 500.0)]
+    assert lists == [3 + 2, 3 + 3 + 2 + 2]
+    # More points than are sent to all tasks: texts are summed up by spot before they are dealt.
+    assert "min_by(display_name" in optimized(found)
